@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from studiolens import schema
 from studiolens.functions import clock
 from studiolens.functions.ratio import (
     DETAIL_THRESHOLD,
@@ -27,7 +28,11 @@ from studiolens.operators import (
     sales,
     schedule,
 )
+from studiolens.plans import load
+from studiolens.session import work_dir
 from studiolens.sources import exports, roles, tables
+from studiolens.streaming import files, outages, rides
+from studiolens.streaming import polls as polls_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -509,7 +514,11 @@ _simple("outage_alerts", alerts.outage_alerts, "probes")
 
 def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event seen as one poll of a class."""
-    return roles.attend_ev(spark, sf_dir).select(
+    return polls_from(roles.attend_ev(spark, sf_dir))
+
+
+def polls_from(attend: DataFrame) -> DataFrame:
+    return attend.select(
         F.col("classdate").alias("dt"),
         F.concat(F.lit("site"), (F.col("custid") % 5).cast("string")).alias("site"),
         F.col("inst").alias("instr"),
@@ -535,6 +544,157 @@ _simple(
 )
 
 
+def _round_trip(df: DataFrame, table: T.StructType, name: str) -> DataFrame:
+    """Write rows as an export and read them back through the strict reader."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    exports.write_export(df, path, table)
+    return exports.read_export(spark, path, table)
+
+
+@query("csv_source_strict")
+def _csv(spark, sf_dir):
+    return _round_trip(roles.sale(spark, sf_dir), schema.SALES, "sales-export")
+
+
+@query("full_refresh_load")
+def _full_refresh(spark, sf_dir):
+    """A table loaded twice holds the rows of the second load."""
+    path = work_dir(spark, "openseries")
+    series = roles.openseries(spark, sf_dir)
+    tables.full_refresh(series.where(F.col("remaining") > 5), path)
+    tables.full_refresh(series, path)
+    return spark.read.parquet(path)
+
+
+def reloaded_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of one extract again, refunds taken out and totals doubled."""
+    week = exports.extract_window(roles.sale(spark, sf_dir), "dt", SALES_DAY)
+    return week.where(F.col("total") > 0).withColumn(
+        "total", (F.col("total") * 2).cast("decimal(18,2)")
+    )
+
+
+@query("range_replace_load")
+def _range_replace(spark, sf_dir):
+    path = work_dir(spark, "sale")
+    tables.replace_range_at(spark, path, roles.sale(spark, sf_dir), "dt", grain="month")
+    tables.replace_range_at(spark, path, reloaded_sales(spark, sf_dir), "dt", grain="month")
+    return tables.read_table(spark, path)
+
+
+@query("range_replace_frames")
+def _range_replace_frames(spark, sf_dir):
+    return tables.replace_range(
+        roles.sale(spark, sf_dir), reloaded_sales(spark, sf_dir), "dt"
+    )
+
+
+def changed_attendance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one extract again: all cancelled, classes of one instructor a day later."""
+    window = exports.extract_window(
+        roles.attend_ev(spark, sf_dir), "classdate", EVENTS_DAY, **exports.ATTENDANCE_EXTRACT
+    )
+    later = F.col("classdate") + F.make_dt_interval(F.lit(1))
+    return window.withColumn("status", F.lit("Cancelled")).withColumn(
+        "classdate", F.when(F.col("inst") == "I1", later).otherwise(F.col("classdate"))
+    )
+
+
+@query("key_upsert_load")
+def _key_upsert(spark, sf_dir):
+    path = work_dir(spark, "attend")
+    attend, changed = roles.attend_ev(spark, sf_dir), changed_attendance(spark, sf_dir)
+    tables.upsert_at(spark, path, attend, ["id"], "classdate")
+    tables.upsert_at(spark, path, changed, ["id"], "classdate")
+    return tables.read_table(spark, path)
+
+
+@query("key_upsert_frames")
+def _key_upsert_frames(spark, sf_dir):
+    return tables.upsert(roles.attend_ev(spark, sf_dir), changed_attendance(spark, sf_dir), ["id"])
+
+
+@query("per_site_load")
+def _per_site(spark, sf_dir):
+    """Two sites, each with four exports, loaded into one store; rows per table and site."""
+    store = work_dir(spark, "store")
+    home = F.col("custid") % 2
+    parts = {
+        "series": (roles.openseries(spark, sf_dir), F.length("emailaddress") % 2, schema.OPEN_SERIES),
+        "customers": (roles.cust(spark, sf_dir), F.col("id") % 2, schema.CUSTOMERS),
+        "sales": (roles.sale(spark, sf_dir), home, schema.SALES),
+        "attendance": (roles.attend_ev(spark, sf_dir), home, schema.ATTENDANCE),
+    }
+    for site in (0, 1):
+        paths = {}
+        for name, (rows, at, table) in parts.items():
+            paths[name] = work_dir(spark, f"{name}-{site}")
+            header = schema.ATTENDANCE_HEADER if name == "attendance" else None
+            exports.write_export(rows.where(at == site), paths[name], table, header)
+        load.ingest(spark, f"site{site}", load.SiteFiles(**paths), store, grain="month")
+
+    def counted(table: str, amount: Column) -> DataFrame:
+        return (
+            spark.read.parquet(f"{store}/{table}")
+            .groupBy("site")
+            .agg(F.count(F.lit(1)).alias("cnt"), F.sum(amount).cast("double").alias("amount"))
+            .select(F.lit(table).alias("table_name"), "site", "cnt", "amount")
+        )
+
+    return (
+        counted("openseries", F.col("remaining"))
+        .unionByName(counted("cust", F.col("id")))
+        .unionByName(counted("sale", F.col("total")))
+        .unionByName(counted("attend", F.col("num") + F.col("totnum")))
+    )
+
+
+@query("email_list_sink")
+def _email_list(spark, sf_dir):
+    path = work_dir(spark, "emails")
+    people = customers.age_between(roles.cust(spark, sf_dir), 20, 30, SALES_DAY)
+    exports.write_lines(people, path)
+    return spark.read.text(path).withColumnRenamed("value", "emailaddress")
+
+
+# --- G: streams, run over the whole table until nothing is left ------------------------
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The stream source takes folders or globs, not the name of a single file.
+    like = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return files.parquet_stream(spark, f"{sf_dir}/events*.parquet", like)
+
+
+@query("running_ride_number_stream")
+def _ride_stream(spark, sf_dir):
+    home = work_dir(spark, "rides")
+    attend = roles.attend_from(event_stream(spark, sf_dir))
+    rides.stream_ride_number(
+        attend, f"{home}/out", f"{home}/state", f"{home}/checkpoint"
+    ).awaitTermination()
+    return spark.read.parquet(f"{home}/out").select("id", "custid", "num", "late")
+
+
+@query("occupancy_latest_stream")
+def _latest_stream(spark, sf_dir):
+    home = work_dir(spark, "polls")
+    seen = polls_from(roles.attend_from(event_stream(spark, sf_dir)))
+    polls_job.keep_latest(seen, f"{home}/occ", f"{home}/checkpoint").awaitTermination()
+    return tables.read_table(spark, f"{home}/occ")
+
+
+@query("outage_alerts_stream")
+def _outage_stream(spark, sf_dir):
+    home = work_dir(spark, "outages")
+    outages.stream_outage_alerts(
+        roles.probes_from(event_stream(spark, sf_dir)),
+        f"{home}/out", f"{home}/state", f"{home}/checkpoint",
+    ).awaitTermination()
+    return outages.alerts_of(spark.read.parquet(f"{home}/out"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

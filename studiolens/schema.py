@@ -46,5 +46,10 @@ OPEN_SERIES = _table(
 
 OCCUPANCY = _table(("dt", _TS), ("site", _S), ("instr", _S), ("unavail", _I), ("total", _I))
 
-# Header names an attendance export must carry.
-ATTENDANCE_HEADER = ["CUSTOMERID", "STATUS", "CLASSDATE", "DATEIN"]
+# Header names an attendance export must carry, by our column.
+ATTENDANCE_HEADER = {
+    "custid": "CUSTOMERID",
+    "status": "STATUS",
+    "classdate": "CLASSDATE",
+    "datein": "DATEIN",
+}

@@ -51,8 +51,13 @@ def read_export(
     )
 
 
-def write_export(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Write a table in the form :func:`read_export` takes; absent columns stay empty."""
+def write_export(
+    df: DataFrame, path: str, schema: T.StructType, header: dict[str, str] | None = None
+) -> None:
+    """Write a table in the form :func:`read_export` takes; absent columns stay empty.
+
+    ``header`` gives other names to columns in the header row.
+    """
     columns = []
     for field in schema:
         if field.name not in df.columns:
@@ -64,6 +69,7 @@ def write_export(df: DataFrame, path: str, schema: T.StructType) -> None:
             columns.append(F.col(field.name).cast("string").alias(field.name))
     (
         df.select(*columns)
+        .withColumnsRenamed(header or {})
         .write.mode("overwrite")
         .option("header", True)
         .option("lineSep", LINE_END)

@@ -84,7 +84,11 @@ def attend_ship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attend_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attendance from events; ``id`` is unique."""
-    return table(spark, sf_dir, "events").select(
+    return attend_from(table(spark, sf_dir, "events"))
+
+
+def attend_from(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").alias("id"),
         F.col("user_id").alias("custid"),
         _text("Rider ", F.col("user_id")).alias("firstname"),
@@ -138,7 +142,11 @@ def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    return probes_from(table(spark, sf_dir, "events"))
+
+
+def probes_from(events: DataFrame) -> DataFrame:
+    return events.select(
         (F.col("user_id") % 3).alias("target"),
         "ts",
         "event_id",

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studiolens.session import work_dir
@@ -57,70 +57,82 @@ def upsert(
 
 # --- tables at rest -------------------------------------------------------------------
 
+PART = "part_day"
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+
+def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path, None before its first load."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
-def _with_day(df: DataFrame, ts: str) -> DataFrame:
-    return df.withColumn("day", F.to_date(ts))
+def _part(column: Column, grain: str) -> Column:
+    """The partition of a time: its day, or the first day of its month."""
+    return F.to_date(F.date_trunc(grain, column))
+
 
+def _parts_in(df: DataFrame) -> list[dt.date]:
+    """Distinct partitions of a batch: one value per day of the batch, small by nature."""
+    return [row[PART] for row in df.select(PART).distinct().collect()]
 
-def _days_in(df: DataFrame) -> list[dt.date]:
-    """Distinct days of a batch: one value per calendar day, small by nature."""
-    return [r.day for r in df.select("day").distinct().collect()]
 
+def _staged(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows written to the shared working folder and read back.
+
+    What a load keeps must not depend on the folders the load is about to replace.
+    """
+    place = work_dir(spark, "staged")
+    rows.write.parquet(place)
+    return spark.read.schema(rows.schema).parquet(place)
 
-def _drop_day_folders(spark: SparkSession, path: str, days: list[dt.date]) -> None:
+
+def _drop_parts(spark: SparkSession, path: str, parts: list[dt.date]) -> None:
     jvm = spark.sparkContext._jvm
-    for day in days:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/day={day.isoformat()}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for part in parts:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{PART}={part.isoformat()}")
+        folder.getFileSystem(conf).delete(folder, True)
 
 
-def _swap_days(spark: SparkSession, path: str, rows: DataFrame, touched: list[dt.date]) -> None:
-    """Replace the touched day folders by ``rows``, which hold no other day.
+def _swap_parts(spark: SparkSession, path: str, rows: DataFrame, touched: list[dt.date]) -> None:
+    """Replace the touched partitions by ``rows``, which hold every row they will have.
 
-    Dynamic overwrite stages new files and swaps folders on commit, so a failed job leaves
-    the old rows. The rebalance hint gives one set of files per day and splits a large day.
-    Days left without any row are removed at the end.
+    Dynamic overwrite stages the new files and swaps folders on commit, so a failed job
+    leaves the old rows. The rebalance hint brings a partition's rows together and still
+    splits a large one. Touched partitions left without a row are removed at the end.
     """
+    rows = _staged(spark, rows)
     (
-        rows.hint("rebalance", F.col("day"))
+        rows.hint("rebalance", F.col(PART))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day")
+        .partitionBy(PART)
         .parquet(path)
     )
-    stored = _stored(spark, path)
-    emptied = set(touched)
-    if stored is not None and touched:
-        # A touched day is filled if the new rows put a file in it.
-        emptied -= set(_days_in(rows))
-    _drop_day_folders(spark, path, sorted(emptied))
+    _drop_parts(spark, path, sorted(set(touched) - set(_parts_in(rows))))
 
 
-def replace_range_at(spark: SparkSession, path: str, incoming: DataFrame, ts: str) -> None:
-    """Range replace on a day-partitioned table; reads the days of the range only."""
+def replace_range_at(
+    spark: SparkSession, path: str, incoming: DataFrame, ts: str, grain: str = "day"
+) -> None:
+    """Range replace on a partitioned table; reads the partitions of the range only."""
     first, last = time_bounds(incoming, ts).first()
     if first is None:
         return
-    incoming = _with_day(incoming, ts)
-    stored = _stored(spark, path)
+    incoming = incoming.withColumn(PART, _part(F.col(ts), grain))
+    stored = stored_rows(spark, path)
     if stored is None:
-        _swap_days(spark, path, incoming, [])
+        _swap_parts(spark, path, incoming, [])
         return
-    within = stored.where(F.col("day").between(F.lit(first.date()), F.lit(last.date())))
+    edges = [_part(F.lit(edge), grain) for edge in (first, last)]
+    within = stored.where(F.col(PART).between(*edges))
     kept = within.where((F.col(ts) < F.lit(first)) | (F.col(ts) > F.lit(last)))
-    touched = _days_in(within)
-    # Edge-day rows that stay are cut loose from the folders they are about to replace.
-    edges = _staged(spark, kept)
-    _swap_days(spark, path, edges.unionByName(incoming), touched)
+    touched = _parts_in(within)
+    _swap_parts(spark, path, kept.unionByName(incoming.select(*kept.columns)), touched)
 
 
 def upsert_at(
@@ -130,26 +142,25 @@ def upsert_at(
     keys: list[str],
     ts: str,
     latest_by: str | None = None,
+    grain: str = "day",
 ) -> None:
-    """Key upsert on a day-partitioned table; rewrites the days that hold a matching key."""
+    """Key upsert on a partitioned table; rewrites the partitions that hold a matching key
+    or receive a row."""
     if latest_by:
         incoming = newest_per_key(incoming, keys, latest_by)
-    incoming = _with_day(incoming, ts)
-    stored = _stored(spark, path)
+    incoming = incoming.withColumn(PART, _part(F.col(ts), grain))
+    stored = stored_rows(spark, path)
     if stored is None:
-        _swap_days(spark, path, incoming, [])
+        _swap_parts(spark, path, incoming, [])
         return
+    incoming = _staged(spark, incoming.select(*stored.columns))
     ids = incoming.select(*keys).distinct()
-    hit = _days_in(stored.select("day", *keys).join(ids, keys, "left_semi"))
-    touched = sorted(set(hit) | set(_days_in(incoming)))
-    kept = stored.where(F.col("day").isin(touched)).join(ids, keys, "left_anti")
-    _swap_days(
-        spark, path, _staged(spark, kept).unionByName(incoming.select(*stored.columns)), hit
-    )
+    hit = _parts_in(stored.select(PART, *keys).join(ids, keys, "left_semi"))
+    touched = sorted(set(hit) | set(_parts_in(incoming)))
+    kept = stored.where(F.col(PART).isin(touched)).join(ids, keys, "left_anti")
+    _swap_parts(spark, path, kept.select(*stored.columns).unionByName(incoming), touched)
 
 
-def _staged(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Rows written to the shared working folder and read back."""
-    place = work_dir(spark, "staged")
-    rows.write.parquet(place)
-    return spark.read.schema(rows.schema).parquet(place)
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table without its partition column."""
+    return spark.read.parquet(path).drop(PART)

@@ -1,0 +1,42 @@
+"""Keyed state of a foreachBatch job: one small table per micro-batch.
+
+Batch N reads the state written by the last batch before N and writes its own, so a batch
+that is run again after a failure starts from the same state and writes the same result.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _epochs(spark: SparkSession, path: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = []
+    for status in fs.listStatus(root):
+        folder = status.getPath()
+        # Only finished writes carry the marker.
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+            found.append(int(folder.getName().split("-")[1]))
+    return sorted(found)
+
+
+def state_before(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
+    """The state as of the last batch before ``epoch``, None at the start."""
+    earlier = [e for e in _epochs(spark, path) if e < epoch]
+    return spark.read.parquet(f"{path}/epoch-{earlier[-1]}") if earlier else None
+
+
+def save_state(state: DataFrame, path: str, epoch: int) -> None:
+    """Write the state after ``epoch`` and drop those no restart can ask for."""
+    state.write.mode("overwrite").parquet(f"{path}/epoch-{epoch}")
+    spark = state.sparkSession
+    jvm = spark.sparkContext._jvm
+    for old in _epochs(spark, path):
+        if old < epoch - 1:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/epoch-{old}")
+            fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            fs.delete(folder, True)
