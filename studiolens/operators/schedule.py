@@ -105,13 +105,16 @@ def schedule_digest(
     link: str,
     default_type: str = DEFAULT_TYPE,
     max_text: int = MAX_TEXT,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """One line per day: ``MON 7/8: 6a Ann, 7:30p Bob (power)`` and a link if it fits.
 
-    ``classes`` has ``classdate, instructor, classtype``. Repeated rows of a class are
-    removed before a day's classes are brought together.
+    ``classes`` has ``classdate, instructor, classtype`` and the columns named by ``by``,
+    e.g. a site. Repeated rows of a class are removed first, so what comes together for a
+    line is the timetable of one day and site.
     """
-    known = classes.select("classdate", "instructor", "classtype").distinct()
+    by = by or []
+    known = classes.select(*by, "classdate", "instructor", "classtype").distinct()
     entry = F.concat(
         _clock_text(F.col("classdate")),
         F.lit(" "),
@@ -132,10 +135,11 @@ def schedule_digest(
     )
     text = F.concat(head, F.array_join(F.transform("__listed", lambda c: c["entry"]), ", "))
     return (
-        known.groupBy(F.to_date("classdate").alias("day"))
+        known.groupBy(*by, F.to_date("classdate").alias("day"))
         .agg(listed.alias("__listed"))
         .withColumn("__text", text)
         .select(
+            *by,
             "day",
             F.when(
                 F.length("__text") <= max_text, F.concat(F.col("__text"), F.lit(" " + link))

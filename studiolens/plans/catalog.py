@@ -663,8 +663,7 @@ def _email_list(spark, sf_dir):
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The stream source takes folders or globs, not the name of a single file.
-    like = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    return files.parquet_stream(spark, f"{sf_dir}/events*.parquet", like)
+    return files.parquet_stream(spark, f"{sf_dir}/events*.parquet", roles.SCHEMAS["events"])
 
 
 @query("running_ride_number_stream")

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.showConsoleProgress": "false",
+    # Do not take a Python stack trace for each column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -51,3 +53,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             _local_base = tempfile.mkdtemp(prefix="studiolens-")
         base = _local_base
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library has written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(folder, True)

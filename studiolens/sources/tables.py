@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studiolens.session import work_dir
+from studiolens.session import remove_dir, work_dir
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
@@ -80,32 +80,25 @@ def _parts_in(df: DataFrame) -> list[dt.date]:
     return [row[PART] for row in df.select(PART).distinct().collect()]
 
 
-def _staged(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Rows written to the shared working folder and read back.
-
-    What a load keeps must not depend on the folders the load is about to replace.
-    """
-    place = work_dir(spark, "staged")
-    rows.write.parquet(place)
-    return spark.read.schema(rows.schema).parquet(place)
-
-
-def _drop_parts(spark: SparkSession, path: str, parts: list[dt.date]) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for part in parts:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{PART}={part.isoformat()}")
-        folder.getFileSystem(conf).delete(folder, True)
-
-
-def _swap_parts(spark: SparkSession, path: str, rows: DataFrame, touched: list[dt.date]) -> None:
-    """Replace the touched partitions by ``rows``, which hold every row they will have.
+def _swap_parts(
+    spark: SparkSession,
+    path: str,
+    kept: DataFrame | None,
+    incoming: DataFrame,
+    touched: list[dt.date],
+) -> None:
+    """Rewrite the touched partitions as ``kept`` and ``incoming`` rows.
 
-    Dynamic overwrite stages the new files and swaps folders on commit, so a failed job
-    leaves the old rows. The rebalance hint brings a partition's rows together and still
-    splits a large one. Touched partitions left without a row are removed at the end.
+    Dynamic overwrite stages the new files and swaps folders on commit: the old rows are
+    there to be read while the job runs, and stay if it fails. The rebalance hint brings a
+    partition's rows together and still splits a large one. Touched partitions left
+    without a row are removed at the end.
     """
-    rows = _staged(spark, rows)
+    filled = set(_parts_in(incoming))
+    rows = incoming
+    if kept is not None:
+        filled |= set(_parts_in(kept))
+        rows = kept.unionByName(incoming.select(*kept.columns))
     (
         rows.hint("rebalance", F.col(PART))
         .write.mode("overwrite")
@@ -113,7 +106,8 @@ def _swap_parts(spark: SparkSession, path: str, rows: DataFrame, touched: list[d
         .partitionBy(PART)
         .parquet(path)
     )
-    _drop_parts(spark, path, sorted(set(touched) - set(_parts_in(rows))))
+    for part in sorted(set(touched) - filled):
+        remove_dir(spark, f"{path}/{PART}={part.isoformat()}")
 
 
 def replace_range_at(
@@ -126,13 +120,12 @@ def replace_range_at(
     incoming = incoming.withColumn(PART, _part(F.col(ts), grain))
     stored = stored_rows(spark, path)
     if stored is None:
-        _swap_parts(spark, path, incoming, [])
+        _swap_parts(spark, path, None, incoming, [])
         return
     edges = [_part(F.lit(edge), grain) for edge in (first, last)]
     within = stored.where(F.col(PART).between(*edges))
     kept = within.where((F.col(ts) < F.lit(first)) | (F.col(ts) > F.lit(last)))
-    touched = _parts_in(within)
-    _swap_parts(spark, path, kept.unionByName(incoming.select(*kept.columns)), touched)
+    _swap_parts(spark, path, kept, incoming, _parts_in(within))
 
 
 def upsert_at(
@@ -148,17 +141,21 @@ def upsert_at(
     or receive a row."""
     if latest_by:
         incoming = newest_per_key(incoming, keys, latest_by)
-    incoming = incoming.withColumn(PART, _part(F.col(ts), grain))
+    # Written once to the shared folder: it is read several times below, and it may itself
+    # come from the table that is about to change.
+    staged = work_dir(spark, "incoming")
+    incoming.withColumn(PART, _part(F.col(ts), grain)).write.parquet(staged)
+    incoming = spark.read.parquet(staged)
     stored = stored_rows(spark, path)
     if stored is None:
-        _swap_parts(spark, path, incoming, [])
-        return
-    incoming = _staged(spark, incoming.select(*stored.columns))
-    ids = incoming.select(*keys).distinct()
-    hit = _parts_in(stored.select(PART, *keys).join(ids, keys, "left_semi"))
-    touched = sorted(set(hit) | set(_parts_in(incoming)))
-    kept = stored.where(F.col(PART).isin(touched)).join(ids, keys, "left_anti")
-    _swap_parts(spark, path, kept.select(*stored.columns).unionByName(incoming), touched)
+        _swap_parts(spark, path, None, incoming, [])
+    else:
+        ids = incoming.select(*keys).distinct()
+        hit = _parts_in(stored.select(PART, *keys).join(ids, keys, "left_semi"))
+        touched = sorted(set(hit) | set(_parts_in(incoming)))
+        kept = stored.where(F.col(PART).isin(touched)).join(ids, keys, "left_anti")
+        _swap_parts(spark, path, kept.select(*stored.columns), incoming, touched)
+    remove_dir(spark, staged)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

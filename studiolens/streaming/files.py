@@ -10,7 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 
 def parquet_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int | None = None
 ) -> DataFrame:
     """Files of a folder (or a glob) as a stream; the limit bounds what a batch holds."""
     reader = spark.readStream.schema(schema)

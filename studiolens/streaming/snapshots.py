@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from studiolens.session import remove_dir
+
 
 def _epochs(spark: SparkSession, path: str) -> list[int]:
     jvm = spark.sparkContext._jvm
@@ -32,11 +34,8 @@ def state_before(spark: SparkSession, path: str, epoch: int) -> DataFrame | None
 
 def save_state(state: DataFrame, path: str, epoch: int) -> None:
     """Write the state after ``epoch`` and drop those no restart can ask for."""
-    state.write.mode("overwrite").parquet(f"{path}/epoch-{epoch}")
     spark = state.sparkSession
-    jvm = spark.sparkContext._jvm
+    state.write.mode("overwrite").parquet(f"{path}/epoch-{epoch}")
     for old in _epochs(spark, path):
         if old < epoch - 1:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/epoch-{old}")
-            fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-            fs.delete(folder, True)
+            remove_dir(spark, f"{path}/epoch-{old}")
