@@ -1,0 +1,70 @@
+"""Tiny hand-made tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def ts(text: str | None) -> dt.datetime | None:
+    return dt.datetime.fromisoformat(text) if text else None
+
+
+def day(text: str | None) -> dt.date | None:
+    return dt.date.fromisoformat(text) if text else None
+
+
+def attend(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Rows of (id, custid, status, classdate[, datein[, inst[, room]]])."""
+    full = []
+    for row in rows:
+        id_, cust, status, at, *more = row
+        booked, inst, room = (more + [None, "Ann", "A"][len(more):])[:3]
+        full.append(
+            (id_, cust, f"F{cust}", f"L{cust}", f"c{cust}@example.test", status,
+             ts(booked) or ts(at), ts(at), "cycle", inst, room)
+        )
+    return spark.createDataFrame(
+        full,
+        "id bigint, custid bigint, firstname string, lastname string, emailaddress string,"
+        " status string, datein timestamp_ntz, classdate timestamp_ntz, classtype string,"
+        " inst string, room string",
+    )
+
+
+def cust(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Rows of (id, birthdate, datecreated)."""
+    return spark.createDataFrame(
+        [
+            (i, f"F{i}", f"L{i}", f"c{i}@example.test", f"555-{i}", f"556-{i}", "Town",
+             ts(created), day(born))
+            for i, born, created in rows
+        ],
+        "id bigint, firstname string, lastname string, emailaddress string, phone string,"
+        " phone2 string, city string, datecreated timestamp_ntz, birthdate date",
+    )
+
+
+def sale(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Rows of (dt, custid, pmtype, total, item, typ)."""
+    from decimal import Decimal
+
+    return spark.createDataFrame(
+        [(ts(r[0]), r[1], r[2], Decimal(r[3]), r[4], r[5]) for r in rows],
+        "dt timestamp_ntz, custid bigint, pmtype string, total decimal(18,2), item string,"
+        " typ string",
+    )
+
+
+def openseries(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Rows of (emailaddress, series, count, remaining)."""
+    return spark.createDataFrame(
+        rows, "emailaddress string, series string, count int, remaining int"
+    )
+
+
+def values(df: DataFrame, *columns: str) -> list[tuple]:
+    return sorted(
+        (tuple(r) for r in df.select(*columns).collect()), key=lambda t: tuple(map(str, t))
+    )
