@@ -1,10 +1,11 @@
 """Running aggregates that no single task has to hold.
 
-A window over one customer, one probe target or the whole studio puts that key's rows
-into one task. Here a running aggregate is composed of three parts instead: what came
-before the coarse bucket (a day), what came before the fine bucket within it (an
-instant), and what came before the row within the fine bucket. Only the last part
-touches full rows, and it is partitioned by key *and* bucket.
+A window over one customer or one probe target puts all rows of that key into one task.
+That is the best plan for keys of ordinary size, and it is what happens to them here. Keys
+with more rows than a task should hold are cut into buckets instead: days, instants, blocks
+of ids. Their running aggregate is composed of what came before the day, before the instant
+within the day, before the block within the instant, and before the row within the block.
+Every row, of either kind, is shuffled once.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Rows of one key that a task may order by itself. A key counts as large beyond it, so there
+# are at most (rows / TASK_ROWS) large keys: that bounds what is broadcast below.
+TASK_ROWS = 1_000_000
+
 # Stands for a missing time in bucket columns only; NULL times sort first, as it does.
 _FIRST = "0001-01-01 00:00:00"
 
@@ -34,6 +39,23 @@ def instant(col: Column | str, unit: str | None = None) -> Column:
     return F.coalesce(col.cast("timestamp_ntz"), F.lit(_FIRST).cast("timestamp_ntz"))
 
 
+def time_levels(times: list[str], id_column: str) -> list[dict[str, Column]]:
+    """Buckets for rows ordered by one or two times and a numeric id.
+
+    Day of the first time; its exact value with the second of the last time; then the exact
+    last time with a block of about a million ids. Copies of a row that differ in nothing
+    but the id are split by the last level.
+    """
+    first, last = times[0], times[-1]
+    exact = {} if first == last else {"__at": instant(first)}
+    block = F.coalesce(F.shiftright(id_column, 20), F.lit(-(2**62)))
+    return [
+        {"__day": instant(first, "day")},
+        {**exact, "__second": instant(last, "second")},
+        {"__exact": instant(last), "__block": block},
+    ]
+
+
 def prefix_before(
     df: DataFrame,
     keys: list[str],
@@ -41,30 +63,24 @@ def prefix_before(
     order: list[str],
     values: dict[str, tuple[str, Column]],
     start: DataFrame | None = None,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Add, per row, aggregates of the rows of the same key that come before it.
 
-    ``levels`` name the buckets from coarse to fine; their columns must not be NULL and
-    must agree with ``order`` (rows of an earlier bucket come first). ``order`` breaks the
-    remaining ties within the finest bucket. ``values`` maps a new column to ``("sum" |
-    "max", expression)``. ``start`` holds one row per key with a starting value per new
-    column, e.g. counters stored by an earlier load. A sum starts at 0, a max at NULL.
+    ``keys`` must not be NULL. ``levels`` name the buckets from coarse to fine; their columns
+    must not be NULL and must agree with ``order`` (rows of an earlier bucket come first).
+    ``values`` maps a new column to ``("sum" | "max", expression)``. ``start`` holds one row
+    per key with a starting value per new column, e.g. counters stored by an earlier load. A
+    sum starts at 0, a max at NULL.
     """
-    bucketed = df
-    for level in levels:
-        bucketed = bucketed.withColumns(level)
     inputs = {name: f"__in_{name}" for name in values}
-    bucketed = bucketed.withColumns({inputs[n]: expr for n, (_, expr) in values.items()})
+    buckets = {c: expr for level in levels for c, expr in level.items()}
     names = [list(level) for level in levels]
     upto = [keys + [c for part in names[: i + 1] for c in part] for i in range(len(names))]
 
-    # Totals per bucket, the coarser ones from the finer ones.
-    totals: list[DataFrame] = [None] * len(levels)
-    source = bucketed
-    for i in reversed(range(len(levels))):
-        aggs = [_AGG[kind](inputs[n]).alias(inputs[n]) for n, (kind, _) in values.items()]
-        totals[i] = source.groupBy(*upto[i]).agg(*aggs)
-        source = totals[i]
+    rows = df.withColumns({inputs[n]: expr for n, (_, expr) in values.items()})
+    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    large = large.where(F.col("__n") > task_rows).select(*keys)
 
     def before(partition: list[str], ordering: list[str]) -> dict[str, Column]:
         frame = (
@@ -72,40 +88,53 @@ def prefix_before(
             .orderBy(*ordering)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        return {
-            f"__here_{n}": _AGG[kind](inputs[n]).over(frame) for n, (kind, _) in values.items()
-        }
+        return {f"__here_{n}": _AGG[kind](inputs[n]).over(frame) for n, (kind, _) in values.items()}
+
+    # Bucket totals of the large keys, the coarser ones from the finer ones.
+    source = rows.join(F.broadcast(large), keys, "left_semi").withColumns(buckets)
+    totals: list[DataFrame] = []
+    for columns in reversed(upto):
+        aggs = [_AGG[kind](inputs[n]).alias(inputs[n]) for n, (kind, _) in values.items()]
+        source = source.groupBy(*columns).agg(*aggs)
+        totals.insert(0, source)
 
+    # What comes before each bucket.
     carry = start
-    for i in range(len(levels)):
+    for i, columns in enumerate(upto):
         parents = keys if i == 0 else upto[i - 1]
         here = totals[i].withColumns(before(parents, names[i]))
-        if carry is None:
-            parts = {n: [F.col(f"__here_{n}")] for n in values}
-        elif not parents:
-            # One row of starting values for the whole table: a scalar subquery.
-            row = {n: carry.select(F.max(n)).scalar() for n in values}
-            parts = {n: [F.col(f"__here_{n}"), row[n]] for n in values}
-        else:
-            here = here.join(
-                carry.select(*parents, *[F.col(n).alias(f"__carry_{n}") for n in values]),
-                parents,
-                "left",
-            )
-            parts = {n: [F.col(f"__here_{n}"), F.col(f"__carry_{n}")] for n in values}
+        parts = {n: [F.col(f"__here_{n}")] for n in values}
+        if carry is not None:
+            outer = carry.select(*parents, *[F.col(n).alias(f"__carry_{n}") for n in values])
+            here = here.join(outer, parents, "left")
+            parts = {n: [*p, F.col(f"__carry_{n}")] for n, p in parts.items()}
         carry = here.select(
-            *upto[i],
-            *[_merge(kind, parts[n]).alias(n) for n, (kind, _) in values.items()],
+            *columns, *[_merge(kind, parts[n]).alias(n) for n, (kind, _) in values.items()]
         )
 
+    # Rows of other keys keep one value in all bucket columns: their bucket is the key.
     last = upto[-1]
-    rows = bucketed.withColumns(before(last, order)).join(
-        carry.select(*last, *[F.col(n).alias(f"__carry_{n}") for n in values]), last, "left"
+    flagged = rows.join(F.broadcast(large.withColumn("__large", F.lit(True))), keys, "left")
+    kinds = flagged.select(*[expr.alias(c) for c, expr in buckets.items()]).schema
+    whole = {
+        f.name: F.lit(_FIRST if f.dataType.typeName().startswith("timestamp") else 0).cast(f.dataType)
+        for f in kinds
+    }
+    bucketed = flagged.withColumns(
+        {c: F.when(F.col("__large"), expr).otherwise(whole[c]) for c, expr in buckets.items()}
     )
-    return rows.select(
-        *df.columns,
-        *[
-            _merge(kind, [F.col(f"__here_{n}"), F.col(f"__carry_{n}")]).alias(n)
-            for n, (kind, _) in values.items()
-        ],
+    if start is not None:
+        small = start.join(F.broadcast(large), keys, "left_anti").withColumns(whole)
+        carry = carry.unionByName(small.select(*last, *values))
+    carried = carry.select(*last, *[F.col(n).alias(f"__carry_{n}") for n in values])
+    return (
+        bucketed.withColumns(before(last, order))
+        .join(carried, last, "left")
+        .select(
+            *df.columns,
+            *[
+                _merge(kind, [F.col(f"__here_{n}"), F.col(f"__carry_{n}")]).alias(n)
+                for n, (kind, _) in values.items()
+            ],
+        )
     )

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from studiolens.functions.prefix import instant, prefix_before
+from studiolens.functions.prefix import TASK_ROWS, prefix_before, time_levels
 
 ORDER = ["ts", "event_id"]
 
 
-def probe_states(probes: DataFrame, state: DataFrame | None = None) -> DataFrame:
+def probe_states(
+    probes: DataFrame, state: DataFrame | None = None, task_rows: int = TASK_ROWS
+) -> DataFrame:
     """Per sample the length of the run of failures, and whether to alert.
 
     Alerts go out on every second failure in a row, on the first success after two or more
@@ -20,17 +22,19 @@ def probe_states(probes: DataFrame, state: DataFrame | None = None) -> DataFrame
     A run may be as long as the table, so runs are not gathered: a sample is numbered, and
     its run is the distance to the last success before it.
     """
-    levels = [{"__day": instant("ts", "day")}, {"__at": instant("ts", "second")}]
+    levels = time_levels(["ts"], "event_id")
     samples = probes.select("target", "ts", "event_id", "down")
     numbered = prefix_before(
-        samples, ["target"], levels, ORDER, {"__seq": ("sum", F.lit(1))}
+        samples, ["target"], levels, ORDER, {"__seq": ("sum", F.lit(1))}, task_rows=task_rows
     ).withColumn("__seq", F.col("__seq") + 1)
     start = None
     if state is not None:
         # A run that goes on looks like a last success that many samples ago.
         start = state.select("target", (-F.col("downcount")).cast("bigint").alias("__up"))
     success = F.when(F.col("down") == 0, F.col("__seq"))
-    ran = prefix_before(numbered, ["target"], levels, ORDER, {"__up": ("max", success)}, start)
+    ran = prefix_before(
+        numbered, ["target"], levels, ORDER, {"__up": ("max", success)}, start, task_rows
+    )
     failures_before = F.col("__seq") - 1 - F.coalesce("__up", F.lit(0))
     out = ran.withColumn(
         "downcount", F.when(F.col("down") == 1, failures_before + 1).otherwise(F.lit(0))

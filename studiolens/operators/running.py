@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from studiolens.functions import clock
 from studiolens.functions.keys import with_contacts
-from studiolens.functions.prefix import instant, prefix_before
+from studiolens.functions.prefix import TASK_ROWS, instant, prefix_before, time_levels
 from studiolens.operators.retention import ENROLLED
 
 # Ride milestones (every STEP rides, announced APPROACH rides before, up to
@@ -25,14 +25,9 @@ def _one() -> Column:
     return F.when(F.col("status") == ENROLLED, 1).otherwise(0)
 
 
-def _levels() -> list[dict[str, Column]]:
-    return [
-        {"__day": instant("classdate", "day")},
-        {"__at": instant("classdate"), "__in": instant("datein", "second")},
-    ]
-
-
-def with_ride_number(attend: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+def with_ride_number(
+    attend: DataFrame, stored: DataFrame | None = None, task_rows: int = TASK_ROWS
+) -> DataFrame:
     """``num``: enrolled rides of the customer so far, in order of class and booking time.
 
     Rows of another status carry the count. ``stored`` is the table loaded so far; its
@@ -42,23 +37,41 @@ def with_ride_number(attend: DataFrame, stored: DataFrame | None = None) -> Data
     if stored is not None:
         start = stored.groupBy("custid").agg(F.max("num").alias("num"))
     counted = prefix_before(
-        attend.drop("num"), ["custid"], _levels(), ORDER, {"num": ("sum", _one())}, start
+        attend.drop("num"),
+        ["custid"],
+        time_levels(["classdate", "datein"], "id"),
+        ORDER,
+        {"num": ("sum", _one())},
+        start,
+        task_rows,
     )
     return counted.withColumn("num", F.col("num") + _one())
 
 
-def with_studio_number(attend: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+def with_studio_number(
+    attend: DataFrame, stored: DataFrame | None = None, task_rows: int = TASK_ROWS
+) -> DataFrame:
     """``totnum``: the same count over all customers.
 
-    Only day totals, one row per calendar day, are ever ordered in a single task.
+    What came before a day is known from the day totals. Only these, one row per calendar
+    day, are ordered in a single task; the days are then counted like customers.
     """
-    start = None
+    days = attend.drop("totnum").withColumn("__date", instant("classdate", "day"))
+    earlier = Window.orderBy("__date").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("__n").over(earlier), F.lit(0))
     if stored is not None:
-        start = stored.agg(F.max("totnum").alias("totnum"))
+        before = before + F.coalesce(stored.agg(F.max("totnum")).scalar(), F.lit(0))
+    start = (
+        days.groupBy("__date")
+        .agg(F.sum(_one()).alias("__n"))
+        .select("__date", before.alias("totnum"))
+    )
+    # The day is the key here, so the first level has nothing to split.
+    levels = time_levels(["classdate", "datein"], "id")[1:]
     counted = prefix_before(
-        attend.drop("totnum"), [], _levels(), ORDER, {"totnum": ("sum", _one())}, start
+        days, ["__date"], levels, ORDER, {"totnum": ("sum", _one())}, start, task_rows
     )
-    return counted.withColumn("totnum", F.col("totnum") + _one())
+    return counted.drop("__date").withColumn("totnum", F.col("totnum") + _one())
 
 
 def milestones_next(

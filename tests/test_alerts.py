@@ -38,24 +38,26 @@ def test_known_sequence(spark):
     assert [r.downcount for r in got] == [0, 2, 4, 0]
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 1])
 @pytest.mark.parametrize("cut", [1, 7, 8, 9, 10])
-def test_continued_from_stored_state(spark, cut):
+def test_continued_from_stored_state(spark, cut, limit):
     one = alerts.probe_states(samples(spark, KNOWN[:cut]))
     state = alerts.last_state(one)
-    two = alerts.probe_states(samples(spark, KNOWN[cut:], first=cut), state)
+    two = alerts.probe_states(samples(spark, KNOWN[cut:], first=cut), state, limit)
     got = [r.event_id for r in one.unionByName(two).where("alert").collect()]
     assert sorted(got) == [1, 7, 9, 10]
 
 
-def test_random_sequences_of_several_targets(spark):
+@pytest.mark.parametrize("limit", [1_000_000, 50])
+def test_random_sequences_of_several_targets(spark, limit):
     rng = random.Random(7)
     downs = {t: [int(rng.random() < 0.6) for _ in range(300)] for t in (1, 2)}
     both = samples(spark, downs[1], 1).unionByName(samples(spark, downs[2], 2))
-    got = alerts.outage_alerts(both).collect()
+    got = alerts.probe_states(both, task_rows=limit).where("alert").collect()
     for target, seq in downs.items():
         assert sorted(r.event_id for r in got if r.target == target) == loop(seq)
 
 
 def test_an_outage_without_end(spark):
-    got = alerts.outage_alerts(samples(spark, [1] * 200)).collect()
+    got = alerts.probe_states(samples(spark, [1] * 200), task_rows=9).where("alert").collect()
     assert sorted(r.event_id for r in got) == [1, *range(2, 201, 2)]

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from studiolens.functions.prefix import instant, prefix_before
+from studiolens.functions.prefix import prefix_before, time_levels
 from studiolens.operators import running
 
 
@@ -35,20 +35,30 @@ def _random(spark, seed, n=400, hot=True):
     return attend(spark, rows)
 
 
+# With a limit of 20 rows a task, most customers and days of the small tables are large.
+LIMITS = [running.TASK_ROWS, 20]
+
+
+@pytest.mark.parametrize("limit", LIMITS)
 @pytest.mark.parametrize("seed", [1, 2])
-def test_both_numbers_equal_the_loop(spark, seed):
+def test_both_numbers_equal_the_loop(spark, seed, limit):
     df = _random(spark, seed)
-    got = running.with_studio_number(running.with_ride_number(df)).collect()
+    got = running.with_studio_number(
+        running.with_ride_number(df, task_rows=limit), task_rows=limit
+    ).collect()
     want = _loop(df.collect())
     assert {r.id: (r.num, r.totnum) for r in got} == want
 
 
-def test_a_second_load_goes_on_from_the_first(spark):
+@pytest.mark.parametrize("limit", LIMITS)
+def test_a_second_load_goes_on_from_the_first(spark, limit):
     df = _random(spark, 3)
     first = df.where(F.col("classdate") < "2024-01-03")
     later = df.where(F.col("classdate") >= "2024-01-03")
     done = running.with_studio_number(running.with_ride_number(first))
-    more = running.with_studio_number(running.with_ride_number(later, done), done)
+    more = running.with_studio_number(
+        running.with_ride_number(later, done, limit), done, limit
+    )
     got = {r.id: (r.num, r.totnum) for r in done.unionByName(more).collect()}
     assert got == _loop(df.collect())
 
@@ -67,10 +77,25 @@ def test_rows_without_a_time_come_first(spark):
     assert values(running.with_ride_number(df), "id", "num") == [(1, 2), (2, 1)]
 
 
-def test_number_is_not_computed_in_one_task_per_customer(spark):
-    plan = running.with_ride_number(_random(spark, 5, n=20))._jdf.queryExecution().toString()
-    window = [line for line in plan.splitlines() if "Window [sum" in line and "classdate" in line]
-    assert window and all("__at" in line for line in window)
+def test_a_large_customer_is_spread_over_tasks(spark):
+    # One customer holds most rows, half of them copies that differ in the id alone.
+    n = 40_000
+    rows = spark.range(n).select(
+        (F.col("id") * 512).alias("id"),
+        F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id")).cast("bigint").alias("custid"),
+        F.lit("Enrolled").alias("status"),
+        F.timestamp_seconds(
+            F.lit(1_700_000_000) + F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") * 60)
+        ).cast("timestamp_ntz").alias("classdate"),
+    ).withColumn("datein", F.col("classdate"))
+    got = running.with_ride_number(rows, task_rows=5_000).where("custid = 1")
+    assert got.agg(F.countDistinct("num"), F.max("num")).first()[:] == (n * 8 // 10, n * 8 // 10)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = got.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < n * 8 // 10 // 4
 
 
 @settings(
@@ -81,24 +106,30 @@ def test_number_is_not_computed_in_one_task_per_customer(spark):
     st.lists(
         st.tuples(st.integers(0, 2), st.integers(0, 3), st.integers(0, 2), st.integers(-5, 5)),
         min_size=1, max_size=30,
-    )
+    ),
+    st.sampled_from([0, 3, 1000]),
 )
-def test_prefix_sum_and_max_of_any_rows(spark, rows):
+def test_prefix_sum_and_max_of_any_rows(spark, rows, limit):
     data = [
         (i, k, ts(f"2024-01-0{d + 1} 00:00:0{s}"), v) for i, (k, d, s, v) in enumerate(rows)
     ]
     df = spark.createDataFrame(data, "id int, k int, t timestamp_ntz, v int")
+    start = spark.createDataFrame([(0, 100, -3)], "k int, before bigint, top int")
     got = prefix_before(
-        df, ["k"], [{"__d": instant("t", "day")}, {"__s": instant("t", "second")}], ["t", "id"],
-        {"before": ("sum", F.col("v")), "top": ("max", F.col("v"))},
+        df, ["k"], time_levels(["t"], "id"), ["t", "id"],
+        {"before": ("sum", F.col("v")), "top": ("max", F.col("v"))}, start, limit,
     ).collect()
     ordered = sorted(data, key=lambda r: (r[2], r[0]))
     for row in got:
         earlier = [
             v for i, k, t, v in ordered if k == row.k and (t, i) < (row.t, row.id)
         ]
-        assert row.before == sum(earlier)
-        assert row.top == (max(earlier) if earlier else None)
+        if row.k == 0:
+            earlier_top = [*earlier, -3]
+            assert row.before == 100 + sum(earlier) and row.top == max(earlier_top)
+        else:
+            assert row.before == sum(earlier)
+            assert row.top == (max(earlier) if earlier else None)
 
 
 def test_milestones_carry_cancelled_rows_unless_asked(spark):
