@@ -64,6 +64,7 @@ def prefix_before(
     values: dict[str, tuple[str, Column]],
     start: DataFrame | None = None,
     task_rows: int = TASK_ROWS,
+    same_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per row, aggregates of the rows of the same key that come before it.
 
@@ -71,7 +72,8 @@ def prefix_before(
     must not be NULL and must agree with ``order`` (rows of an earlier bucket come first).
     ``values`` maps a new column to ``("sum" | "max", expression)``. ``start`` holds one row
     per key with a starting value per new column, e.g. counters stored by an earlier load. A
-    sum starts at 0, a max at NULL.
+    sum starts at 0, a max at NULL. ``same_rows`` are the rows of ``df`` before columns were
+    added to them: keys are counted there, which spares computing those columns for it.
     """
     inputs = {name: f"__in_{name}" for name in values}
     buckets = {c: expr for level in levels for c, expr in level.items()}
@@ -79,7 +81,9 @@ def prefix_before(
     upto = [keys + [c for part in names[: i + 1] for c in part] for i in range(len(names))]
 
     rows = df.withColumns({inputs[n]: expr for n, (_, expr) in values.items()})
-    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    large = (df if same_rows is None else same_rows).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n")
+    )
     large = large.where(F.col("__n") > task_rows).select(*keys)
 
     def before(partition: list[str], ordering: list[str]) -> dict[str, Column]:

@@ -33,7 +33,7 @@ def probe_states(
         start = state.select("target", (-F.col("downcount")).cast("bigint").alias("__up"))
     success = F.when(F.col("down") == 0, F.col("__seq"))
     ran = prefix_before(
-        numbered, ["target"], levels, ORDER, {"__up": ("max", success)}, start, task_rows
+        numbered, ["target"], levels, ORDER, {"__up": ("max", success)}, start, task_rows, samples
     )
     failures_before = F.col("__seq") - 1 - F.coalesce("__up", F.lit(0))
     out = ran.withColumn(

@@ -49,31 +49,48 @@ def with_ride_number(
 
 
 def with_studio_number(
-    attend: DataFrame, stored: DataFrame | None = None, task_rows: int = TASK_ROWS
+    attend: DataFrame,
+    stored: DataFrame | None = None,
+    task_rows: int = TASK_ROWS,
+    same_rows: DataFrame | None = None,
 ) -> DataFrame:
     """``totnum``: the same count over all customers.
 
     What came before a day is known from the day totals. Only these, one row per calendar
     day, are ordered in a single task; the days are then counted like customers.
+    ``same_rows`` are the rows before columns were added to them, if any were.
     """
-    days = attend.drop("totnum").withColumn("__date", instant("classdate", "day"))
+
+    def dated(df: DataFrame) -> DataFrame:
+        return df.drop("totnum").withColumn("__date", instant("classdate", "day"))
+
+    days = dated(attend)
+    plain = days if same_rows is None else dated(same_rows)
     earlier = Window.orderBy("__date").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("__n").over(earlier), F.lit(0))
     if stored is not None:
         before = before + F.coalesce(stored.agg(F.max("totnum")).scalar(), F.lit(0))
     start = (
-        days.groupBy("__date")
+        plain.groupBy("__date")
         .agg(F.sum(_one()).alias("__n"))
         .select("__date", before.alias("totnum"))
     )
     # The day is the key here, so the first level has nothing to split.
     levels = time_levels(["classdate", "datein"], "id")[1:]
     counted = prefix_before(
-        days, ["__date"], levels, ORDER, {"totnum": ("sum", _one())}, start, task_rows
+        days, ["__date"], levels, ORDER, {"totnum": ("sum", _one())}, start, task_rows, plain
     )
     return counted.drop("__date").withColumn("totnum", F.col("totnum") + _one())
 
 
+def with_both_numbers(
+    attend: DataFrame, stored: DataFrame | None = None, task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """``num`` and ``totnum``; the totals are read from the rows as they came."""
+    rides = with_ride_number(attend, stored, task_rows)
+    return with_studio_number(rides, stored, task_rows, same_rows=attend)
+
+
 def milestones_next(
     attend: DataFrame,
     cust: DataFrame,

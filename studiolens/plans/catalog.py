@@ -82,7 +82,7 @@ def _simple(name: str, build: Callable[..., DataFrame], *role_names: str, **para
 
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event attendance with both running counts."""
-    return running.with_studio_number(running.with_ride_number(roles.attend_ev(spark, sf_dir)))
+    return running.with_both_numbers(roles.attend_ev(spark, sf_dir))
 
 
 def ride_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:

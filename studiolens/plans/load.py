@@ -33,7 +33,7 @@ def load_attendance(
         stored = stored.select("id", "custid", "num", "totnum").join(
             incoming.select("id").distinct(), "id", "left_anti"
         )
-    counted = running.with_studio_number(running.with_ride_number(incoming, stored), stored)
+    counted = running.with_both_numbers(incoming, stored)
     tables.upsert_at(spark, path, counted, ["id"], "classdate", grain=grain)
 
 

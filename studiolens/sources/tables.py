@@ -151,10 +151,12 @@ def upsert_at(
         _swap_parts(spark, path, None, incoming, [])
     else:
         ids = incoming.select(*keys).distinct()
-        hit = _parts_in(stored.select(PART, *keys).join(ids, keys, "left_semi"))
-        touched = sorted(set(hit) | set(_parts_in(incoming)))
-        kept = stored.where(F.col(PART).isin(touched)).join(ids, keys, "left_anti")
-        _swap_parts(spark, path, kept.select(*stored.columns), incoming, touched)
+        touched = set(_parts_in(incoming))
+        if ts not in keys:
+            # The stored row of a key may lie in another partition than the new one.
+            touched |= set(_parts_in(stored.select(PART, *keys).join(ids, keys, "left_semi")))
+        kept = stored.where(F.col(PART).isin(sorted(touched))).join(ids, keys, "left_anti")
+        _swap_parts(spark, path, kept.select(*stored.columns), incoming, sorted(touched))
     remove_dir(spark, staged)
 
 

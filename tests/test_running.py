@@ -43,9 +43,7 @@ LIMITS = [running.TASK_ROWS, 20]
 @pytest.mark.parametrize("seed", [1, 2])
 def test_both_numbers_equal_the_loop(spark, seed, limit):
     df = _random(spark, seed)
-    got = running.with_studio_number(
-        running.with_ride_number(df, task_rows=limit), task_rows=limit
-    ).collect()
+    got = running.with_both_numbers(df, task_rows=limit).collect()
     want = _loop(df.collect())
     assert {r.id: (r.num, r.totnum) for r in got} == want
 
