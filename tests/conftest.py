@@ -10,6 +10,9 @@ def spark(tmp_path_factory):
         master="local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
+        # Tiny tables: compiling a stage takes longer than running it.
+        spark__sql__codegen__wholeStage="false",
+        spark__sql__codegen__factoryMode="NO_CODEGEN",
         spark__driver__memory="8g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from studiolens.functions.prefix import prefix_before, time_levels
 from studiolens.operators import running
+from studiolens.session import work_dir
 
 
 def _loop(rows, counts=None, total=0):
@@ -35,6 +36,12 @@ def _random(spark, seed, n=400, hot=True):
     return attend(spark, rows)
 
 
+def _stored(spark, df):
+    path = work_dir(spark, "attend")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # With a limit of 20 rows a task, most customers and days of the small tables are large.
 LIMITS = [running.TASK_ROWS, 20]
 
@@ -53,18 +60,16 @@ def test_a_second_load_goes_on_from_the_first(spark, limit):
     df = _random(spark, 3)
     first = df.where(F.col("classdate") < "2024-01-03")
     later = df.where(F.col("classdate") >= "2024-01-03")
-    done = running.with_studio_number(running.with_ride_number(first))
-    more = running.with_studio_number(
-        running.with_ride_number(later, done, limit), done, limit
-    )
+    done = _stored(spark, running.with_both_numbers(first))
+    more = running.with_both_numbers(later, done, limit)
     got = {r.id: (r.num, r.totnum) for r in done.unionByName(more).collect()}
     assert got == _loop(df.collect())
 
 
 def test_an_empty_store_changes_nothing(spark):
     df = _random(spark, 4, n=50)
-    empty = running.with_studio_number(running.with_ride_number(df)).where("id < 0")
-    got = running.with_studio_number(running.with_ride_number(df, empty), empty)
+    empty = _stored(spark, running.with_both_numbers(df)).where("id < 0")
+    got = running.with_both_numbers(df, empty)
     assert {r.id: (r.num, r.totnum) for r in got.collect()} == _loop(df.collect())
 
 
