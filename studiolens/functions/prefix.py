@@ -119,7 +119,7 @@ def prefix_before(
     # Rows of other keys keep one value in all bucket columns: their bucket is the key.
     last = upto[-1]
     flagged = rows.join(F.broadcast(large.withColumn("__large", F.lit(True))), keys, "left")
-    kinds = flagged.select(*[expr.alias(c) for c, expr in buckets.items()]).schema
+    kinds = df.select(*[expr.alias(c) for c, expr in buckets.items()]).schema
     whole = {
         f.name: F.lit(_FIRST if f.dataType.typeName().startswith("timestamp") else 0).cast(f.dataType)
         for f in kinds

@@ -24,8 +24,9 @@ def attend_by_month(attend: DataFrame) -> DataFrame:
     """Enrolled rides by customer and month."""
     return (
         _enrolled(attend)
-        .groupBy("custid", F.date_format("classdate", "MM-yyyy").alias("mmyy"))
+        .groupBy("custid", F.trunc("classdate", "MM").alias("__month"))
         .agg(F.count(F.lit(1)).alias("cnt"))
+        .select("custid", F.date_format("__month", "MM-yyyy").alias("mmyy"), "cnt")
     )
 
 
@@ -73,8 +74,9 @@ def instr_weekly(attend: DataFrame) -> DataFrame:
 
 
 def instr_monthly(attend: DataFrame) -> DataFrame:
-    month = clock.month_key("classdate").alias("yymm")
-    return _per_class(class_stats(attend).groupBy("inst", month).agg(*_stats()))
+    month = F.trunc("classdate", "MM").alias("__month")
+    stats = _per_class(class_stats(attend).groupBy("inst", month).agg(*_stats()))
+    return stats.withColumn("yymm", clock.month_key("__month")).drop("__month")
 
 
 def _slot() -> list[Column]:

@@ -95,7 +95,9 @@ def occ_by_month(occ: DataFrame, as_of: str | dt.date) -> DataFrame:
 
 
 def occ_by_month_instr(occ: DataFrame, instr: str = "instr") -> DataFrame:
-    return _summary(occ, clock.month_key("dt").alias("yymm"), "site", F.col(instr).alias("instrex"))
+    month = F.trunc("dt", "MM").alias("__month")
+    out = _summary(occ, month, "site", F.col(instr).alias("instrex"))
+    return out.withColumn("yymm", clock.month_key("__month")).drop("__month")
 
 
 def occ_by_instr(occ: DataFrame) -> DataFrame:

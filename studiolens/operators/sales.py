@@ -273,20 +273,20 @@ def sales_by_city(
 
     Sales are added up per customer (and month) before they meet the customer table.
     """
-    keys = ["custid"]
-    if by_month:
-        sale = sale.withColumn("yymm", clock.month_key("dt"))
-        keys.append("yymm")
-    per_customer = sale.groupBy(*keys).agg(F.sum("total").alias("__total"))
+    months = [F.trunc("dt", "MM").alias("__month")] if by_month else []
+    per_customer = sale.groupBy("custid", *months).agg(F.sum("total").alias("__total"))
     places = cust.select(F.col("id").alias("custid"), F.lower("city").alias("city"))
     if cities:
         places = places.where(F.col("city").isin([c.lower() for c in cities]))
     joined = per_customer.join(places, "custid", "inner" if cities else "left")
-    return (
-        joined.groupBy(*keys[1:], "city")
+    sums = (
+        joined.groupBy(*(["__month"] if by_month else []), "city")
         .agg(F.sum("__total").alias("total"))
         .where(F.col("total") > 0)
     )
+    if not by_month:
+        return sums
+    return sums.select(clock.month_key("__month").alias("yymm"), "city", "total")
 
 
 def sales_by_date(sale: DataFrame) -> DataFrame:

@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the operators are tuned for. Partition counts are left to AQE: start
-# high with spark.sql.adaptive.coalescePartitions.initialPartitionNum on a cluster.
+# Settings the operators are tuned for.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,13 +19,24 @@ DEFAULTS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# On a cluster, shuffles start with many partitions, sized for tens of terabytes, and AQE
+# puts small ones together to the advised size instead of to the number of cores.
+CLUSTER = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
 
-def build_session(app: str = "studiolens", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with :data:`DEFAULTS`; ``conf`` keys use ``__`` for dots."""
+def build_session(
+    app: str = "studiolens", master: str | None = None, cluster: bool = False, **conf: str
+) -> SparkSession:
+    """A session with :data:`DEFAULTS`, and :data:`CLUSTER` if asked; ``conf`` keys use
+    ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = dict(DEFAULTS)
+    settings = {**DEFAULTS, **(CLUSTER if cluster else {})}
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
