@@ -80,8 +80,16 @@ def riding_on_birthday(
 def nearest_birthday_class(
     cust: DataFrame, attend: DataFrame, as_of: str | dt.date, days: int = 7
 ) -> DataFrame:
-    """Per customer the class nearest to the birthday; equally near classes all stay."""
-    riding = birthday_riders_window(cust, attend, as_of, days).where(F.col("classdate").isNotNull())
+    """Per customer the class nearest to the birthday; equally near classes all stay.
+
+    The rows go on by customer and class: grouped by customer right where they were joined,
+    a customer with very many bookings could not be split in the join.
+    """
+    riding = (
+        birthday_riders_window(cust, attend, as_of, days)
+        .where(F.col("classdate").isNotNull())
+        .repartition("id", "classdate")
+    )
     nearest = riding.groupBy("id").agg(F.min("ndays").alias("ndays"))
     return riding.join(nearest, ["id", "ndays"])
 
