@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studiolens.llm import mixing, token_counts, url_filter
+from studiolens.llm import mixing, simhash, token_counts, url_filter
 from studiolens.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,8 +41,21 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.with_components(docs, words=4).select("doc_id", "fingerprint", "component_id")
+
+
+QUERIES: tuple[Query, ...] = (
+    op7_mix_sources,
+    op8_url_filter,
+    op9_token_counts,
+    op10_simhash_near_copies,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_mix_sources, op8_url_filter, op9_token_counts)}
+    return {query.__name__: query for query in QUERIES}
 
 
 _OP7 = """

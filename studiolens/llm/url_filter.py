@@ -54,11 +54,10 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame
         .withColumn("__path", F.expr("substring(rule, __cut)"))
         .withColumn("digest", F.sha2(F.concat("__host", "__path"), 256))
     )
-    # How rules look: a few small numbers, whatever the number of rules.
-    shapes = keyed.agg(
-        F.collect_set(F.size(F.split("__host", r"\."))).alias("__labels"),
-        F.collect_set(F.length("__path")).alias("__lengths"),
-    )
+    # How rules look: two sets of small numbers, whatever the number of rules.
+    labels, lengths = keyed.agg(
+        F.collect_set(F.size(F.split("__host", r"\."))), F.collect_set(F.length("__path"))
+    ).first()
     urls = (
         pages.select("url")
         .where(F.col("url").contains("://"))
@@ -67,11 +66,10 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame
         .withColumn("labels", F.split("host", r"\."))
     )
     expanded = (
-        urls.join(F.broadcast(shapes))  # one row
-        .withColumn("n", F.explode("__labels"))
+        urls.withColumn("n", F.explode(F.lit(sorted(labels)).cast("array<int>")))
         .where(F.col("n") <= F.size("labels"))
         .withColumn("suffix", F.expr("array_join(slice(labels, size(labels) - n + 1, n), '.')"))
-        .select("url", "path", "suffix", F.explode("__lengths").alias("n"))
+        .select("url", "path", "suffix", F.explode(F.lit(sorted(lengths)).cast("array<int>")).alias("n"))
         .where(F.col("n") <= F.length("path"))
         .select("url", F.sha2(F.concat("suffix", F.expr("substring(path, 1, n)")), 256).alias("digest"))
         .withColumn("short", F.substring("digest", 1, SHORT))
