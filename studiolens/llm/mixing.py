@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from studiolens.llm.shared import SPACE
+from studiolens.llm.shared import SPACE, staged
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -73,15 +73,17 @@ def with_copies(
     """``docs`` with ``size``, ``source_size``, ``target`` and the number of ``copies``."""
     docs = docs.drop(*ADDED)
     sizes = docs.select("source", word_count(F.col("text")).alias("size"))
-    goal = targets(sizes, weights, most).withColumnRenamed("source", "source_")
+    # Written, so that its size is known: the rates are then broadcast, and texts stay where they are.
+    goal = staged(targets(sizes, weights, most).withColumnRenamed("source", "source_"), "rates")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    whole = F.floor(rate)
-    extra = coin(seed, F.col("doc_id"), F.col("text")) < rate - whole
-    sized = docs.withColumn("size", word_count(F.col("text")))
+    extra = F.col("__coin") < rate - F.floor(rate)
+    own = docs.withColumns(
+        {"size": word_count(F.col("text")), "__coin": coin(seed, F.col("doc_id"), F.col("text"))}
+    )
     return (
-        sized.join(goal, sized["source"].eqNullSafe(goal["source_"]), "left")
-        .drop("source_")
-        .withColumn("copies", (whole + extra.cast("long")).cast("long"))
+        own.join(goal, own["source"].eqNullSafe(goal["source_"]), "left")
+        .withColumn("copies", (F.floor(rate) + extra.cast("long")).cast("long"))
+        .drop("source_", "__coin")
     )
 
 
