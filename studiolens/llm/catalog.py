@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studiolens.llm import mixing, simhash, token_counts, token_store, url_filter
+from studiolens.llm import mixing, near_vectors, simhash, token_counts, token_store, url_filter
 from studiolens.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,12 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(token_store.write_tokens(read(spark, sf_dir, "documents")))
 
 
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.with_links(read(spark, sf_dir, "embeddings")).select(
+        "vec_id", "n_links", "component_id", "kept"
+    )
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return mixing.with_copies(read(spark, sf_dir, "documents")).select(
@@ -52,6 +58,7 @@ def op10_simhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: tuple[Query, ...] = (
     op2_token_store,
+    op5_near_vectors,
     op7_mix_sources,
     op8_url_filter,
     op9_token_counts,
