@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studiolens.llm import mixing, near_vectors, simhash, token_counts, token_store, url_filter
+from studiolens.llm import (
+    decontaminate,
+    mixing,
+    near_vectors,
+    simhash,
+    token_counts,
+    token_store,
+    url_filter,
+)
 from studiolens.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +33,11 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(token_store.write_tokens(read(spark, sf_dir, "documents")))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return decontaminate.with_hits(docs, benchmark).select("doc_id", *decontaminate.ADDED)
+
+
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.with_links(read(spark, sf_dir, "embeddings")).select(
         "vec_id", "n_links", "component_id", "kept"
@@ -58,6 +71,7 @@ def op10_simhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: tuple[Query, ...] = (
     op2_token_store,
+    op4_decontaminate,
     op5_near_vectors,
     op7_mix_sources,
     op8_url_filter,
@@ -70,6 +84,32 @@ def queries() -> dict[str, Query]:
     return {query.__name__: query for query in QUERIES}
 
 
+_OP4 = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w
+  FROM documents
+),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark
+),
+starts AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS i FROM b WHERE len(w) > 0),
+grams AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS gram FROM starts),
+places AS (SELECT rid, n, w, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM grams) WHERE len(w) >= n),
+occ AS (
+  SELECT p.rid, p.i, p.n, g.item_id
+  FROM (SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram FROM places) p JOIN grams g ON p.n = g.n AND p.gram = g.gram
+),
+words AS (SELECT rid, count(DISTINCT k) AS n_hit FROM (SELECT rid, unnest(generate_series(i, i + n - 1)) AS k FROM occ) GROUP BY rid),
+names AS (SELECT rid, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS list FROM (SELECT DISTINCT rid, item_id::VARCHAR AS s FROM occ) GROUP BY rid)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN names USING (rid)
+"""
+
 _OP7 = """
 WITH sized AS (
   SELECT doc_id, text, source,
@@ -139,4 +179,4 @@ FROM named n LEFT JOIN judged j ON n.url = j.url
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mix_sources": _OP7, "op8_url_filter": _OP8}
+    return {"op4_decontaminate": _OP4, "op7_mix_sources": _OP7, "op8_url_filter": _OP8}
