@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from studiolens.llm import (
     decontaminate,
+    language,
     mixing,
     near_vectors,
     simhash,
@@ -29,6 +30,13 @@ URL_RULES = [
 ]
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", language.held_out(F.col("doc_id")))
+    return language.with_language(docs, docs.where(~F.col("held_out"))).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(token_store.write_tokens(read(spark, sf_dir, "documents")))
 
@@ -70,6 +78,7 @@ def op10_simhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: tuple[Query, ...] = (
+    op1_language,
     op2_token_store,
     op4_decontaminate,
     op5_near_vectors,
