@@ -12,6 +12,7 @@ from studiolens.llm import (
     language,
     mixing,
     near_vectors,
+    personal,
     simhash,
     token_counts,
     token_store,
@@ -41,6 +42,23 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(token_store.write_tokens(read(spark, sf_dir, "documents")))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.with_spans(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [
+        (F.size("spans") - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in personal.KINDS
+    ]
+    base = F.transform("spans", lambda s: personal.listed(s["kind"], s["at"], s["end"]))
+    terms = F.transform("term_spans", lambda s: personal.listed(F.lit(personal.TERM), s["at"], s["end"]))
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        F.array_join(F.concat(base, terms), ",").alias("spans"),
+    )
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     return decontaminate.with_hits(docs, benchmark).select("doc_id", *decontaminate.ADDED)
@@ -80,6 +98,7 @@ def op10_simhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: tuple[Query, ...] = (
     op1_language,
     op2_token_store,
+    op3_personal_data,
     op4_decontaminate,
     op5_near_vectors,
     op7_mix_sources,
