@@ -13,6 +13,7 @@ from studiolens.llm import (
     mixing,
     near_vectors,
     personal,
+    repeats,
     simhash,
     token_counts,
     token_store,
@@ -70,6 +71,11 @@ def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.without_repeats(docs).select("doc_id", *repeats.ADDED)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return mixing.with_copies(read(spark, sf_dir, "documents")).select(
@@ -101,6 +107,7 @@ QUERIES: tuple[Query, ...] = (
     op3_personal_data,
     op4_decontaminate,
     op5_near_vectors,
+    op6_repeated_strings,
     op7_mix_sources,
     op8_url_filter,
     op9_token_counts,
