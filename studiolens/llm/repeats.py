@@ -319,7 +319,7 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = False, bucket_names: int
         def send(batches: Iterator[pa.RecordBatch], step=step) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in batch.to_pylist():
-                    names = loaded(row["path"], [row[f"r{k}"] for k in range(step)])[1].names(step)
+                    names = loaded(row["path"], [row[f"r{k}"] or [] for k in range(step)])[1].names(step)
                     for bucket, part in names.slices(buckets):
                         columns = [
                             pa.array([row["src"]], pa.int64()),
@@ -345,7 +345,7 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = False, bucket_names: int
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                table, own = loaded(row["path"], [row[f"r{k}"] for k in range(len(_STEPS))])
+                table, own = loaded(row["path"], [row[f"r{k}"] or [] for k in range(len(_STEPS))])
                 own.resolve()
                 bodies = _binary(table["text"])
                 for at in range(0, len(bodies), 1000):

@@ -151,6 +151,13 @@ def with_components(
 
     The component is named by the smallest doc_id reachable.
     """
+    return _grouped(docs, words, bits, seed, part).drop("__component")
+
+
+def _grouped(
+    docs: DataFrame, words: int = WORDS, bits: int = BITS, seed: int = SEED, part: int = PART
+) -> DataFrame:
+    """The same with ``__component``, the component's smallest fingerprint."""
     slim = docs.drop(*ADDED).withColumn("__fp", fingerprints(F.col("text"), words, seed)).drop("text")
     printed = staged(slim, "fingerprints")
     classes = staged(printed.groupBy(F.col("__fp").alias("fp")).agg(F.min("doc_id").alias("first")), "classes")
@@ -159,7 +166,7 @@ def with_components(
         "fp", "first", F.coalesce("component", "fp").alias("component")
     )
     first = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    member = labelled.join(first, "component").select("fp", "component_id")
+    member = labelled.join(first, "component").select("fp", F.col("component").alias("__component"), "component_id")
     return (
         printed.join(member, F.col("__fp") == F.col("fp"))
         .withColumn("fingerprint", F.lower(F.lpad(F.hex("__fp"), 16, "0")))
@@ -176,11 +183,10 @@ def deduplicated(docs: DataFrame, **how) -> DataFrame:
     hashed = F.xxhash64("text").alias("__h")
     ids = docs.select("doc_id", "text", hashed)
     kept = (
-        with_components(ids, **how)
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id")
-        .agg(F.min("__h").alias("__h"))
-        .select(F.struct(F.col("component_id").alias("doc_id"), "__h").alias("__key"))
+        _grouped(ids, **how)
+        .groupBy("__component")
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__h")).alias("first"))
+        .select(F.struct("first.doc_id", "first.__h").alias("__key"))
     )
     found = docs.withColumn("__key", F.struct("doc_id", hashed))
     return found.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

@@ -23,6 +23,7 @@ places and counts, its length (uint32), magic.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -50,12 +51,20 @@ _CACHED, _CACHED_LENGTH = 400_000, 64
 
 
 class WordEncoder:
-    """Ids of whole texts from the library, called once for each different word.
+    """Ids of whole texts from the library, called once for each different piece of a word.
 
-    The tokenizer's pre-tokenizer drops white space and never joins what it separates, so
-    the ids of a text are those of its words, one after the other.
+    The tokenizer must drop white space and never join what it separates; then the ids of a
+    text are those of its words, one after the other. Of plain words it must take runs of letters, single digits
+    and runs of anything else apart, in lower case; then the ids of such a word are those of these
+    pieces. Both are tried on a probe, and texts are encoded whole by a tokenizer that does otherwise.
     """
 
+    _PROBE = "Ab,Cd 12;x\ny--(z) ..\t7a  END"
+
+    # Printable ASCII without the apostrophe, with which contractions begin, or special tokens.
+    _plain = staticmethod(re.compile(rb"(?!.*<\|)[!-&(-~]+").fullmatch)
+    _pieces = staticmethod(re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+").findall)
+
     def __init__(self, tokenizer: str):
         import os
 
@@ -67,20 +76,51 @@ class WordEncoder:
             tokenizer = public_tokenizers.path(tokenizer)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._library = Tokenizer.from_file(tokenizer)
-        self._known: dict[bytes, bytes] = {}
+        self._words: dict[bytes, bytes] = {}
+        self._parts: dict[bytes, bytes] = {}
+        probe = self._PROBE.encode()
+        self._by_word = True
+        self._by_word = next(self.encode([probe])) == self._whole([probe])[0]
+
+    def _whole(self, texts: list[bytes]) -> list[bytes]:
+        found = self._library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [_packed(e.ids) for e in found]
+
+    def _word(self, word: bytes) -> bytes:
+        """Ids of a plain word."""
+        ids = []
+        for part in self._pieces(word.lower()):
+            own = self._parts.get(part)
+            if own is None:
+                own = _packed([t.id for t in self._library.model.tokenize(part.decode())])
+                if len(part) <= _CACHED_LENGTH:
+                    self._parts[part] = own
+            ids.append(own)
+        return b"".join(ids)
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Per text its ids as little-endian uint32."""
-        if len(self._known) > _CACHED:
-            self._known.clear()
-        split = [text.split() for text in texts]
-        known = self._known
-        new = list({w for words in split for w in words if w not in known})
-        found = self._library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        ids = {w: struct.pack(f"<{len(e.ids)}I", *e.ids) for w, e in zip(new, found, strict=True)}
-        known.update((w, x) for w, x in ids.items() if len(w) <= _CACHED_LENGTH)
-        for words in split:
-            yield b"".join([known[w] if w in known else ids[w] for w in words])
+        if not self._by_word:
+            yield from self._whole(texts)
+            return
+        for cache in (self._words, self._parts):
+            if len(cache) > _CACHED:
+                cache.clear()
+        words, known = [text.split() for text in texts], self._words
+        new = list({w for own in words for w in own}.difference(known))
+        plain = [w for w in new if self._plain(w)]
+        known.update((w, self._word(w)) for w in plain)
+        others = list(set(new).difference(plain))
+        known.update(zip(others, self._whole(others), strict=True))
+        for own in words:
+            yield b"".join(map(known.__getitem__, own))
+        for word in new:
+            if len(word) > _CACHED_LENGTH:
+                del known[word]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def levels_of(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
