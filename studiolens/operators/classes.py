@@ -21,12 +21,13 @@ def _enrolled(attend: DataFrame) -> DataFrame:
 
 
 def attend_by_month(attend: DataFrame) -> DataFrame:
-    """Enrolled rides by customer and month."""
+    """Enrolled rides by customer and month, with the name where attendance has one."""
+    names = [c for c in ("firstname", "lastname") if c in attend.columns]
     return (
         _enrolled(attend)
         .groupBy("custid", F.trunc("classdate", "MM").alias("__month"))
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .select("custid", F.date_format("__month", "MM-yyyy").alias("mmyy"), "cnt")
+        .agg(F.count(F.lit(1)).alias("cnt"), *[F.min(c).alias(c) for c in names])
+        .select("custid", *names, F.date_format("__month", "MM-yyyy").alias("mmyy"), "cnt")
     )
 
 

@@ -30,7 +30,7 @@ def site_rank(df: DataFrame, order: list[str], column: str = "site") -> DataFram
     """
     rank = F.coalesce(
         *[F.when(F.col(column) == name, F.lit(i + 1)) for i, name in enumerate(order)],
-        F.lit(999),
+        F.lit(len(order) + 1),
     )
     return df.withColumn("site_rank", rank)
 
@@ -40,7 +40,7 @@ def normalise_instr(
 ) -> DataFrame:
     """Strip a leading studio initial from the name, unless it starts with an exception."""
     name = F.col(column)
-    out = F.when(name.startswith(initial), F.substring(name, len(initial) + 1, 1_000_000))
+    out = F.when(name.startswith(initial), name.substr(F.lit(len(initial) + 1), F.length(name)))
     keep = F.lit(False)
     for word in exceptions or []:
         keep = keep | name.startswith(word)
@@ -125,18 +125,24 @@ def occ_daily_report(
     occ: DataFrame, day: str | dt.date, order: list[str] | None = None
 ) -> DataFrame:
     """The classes of one day and a summary row per site (``is_summary``)."""
-    today = occ.where(clock.on_day("dt", day))
-    rows = with_occupancy(today).select(
-        "site", F.lit(False).alias("is_summary"), "dt",
-        F.col("instr").alias("label"), "unavail", "total", "pct",
-    )
-    sums = occ_by_day(today).select(
-        "site", F.lit(True).alias("is_summary"),
-        F.col("day").cast(occ.schema["dt"].dataType).alias("dt"),
-        F.concat(F.col("cnt").cast("string"), F.lit(" classes")).alias("label"),
-        "unavail", "total", "pct",
-    )
-    return site_rank(rows.unionByName(sums), order or [])
+    today = with_occupancy(occ.where(clock.on_day("dt", day)))
+
+    def line(is_summary: bool, dt: Column, label: Column) -> Column:
+        return F.struct(
+            F.lit(is_summary).alias("is_summary"), dt.alias("dt"), label.alias("label"),
+            F.col("unavail").cast("bigint").alias("unavail"),
+            F.col("total").cast("bigint").alias("total"), "pct",
+        )
+
+    # The classes of a site on one day are few; they are read once for lines and sums.
+    classes = F.collect_list(line(False, F.col("dt"), F.col("instr"))).alias("__lines")
+    sums = today.groupBy("site").agg(
+        classes, F.count(F.lit(1)).alias("cnt"), *_sums(), exact_mean("pct").alias("pct")
+    )
+    start = F.lit(clock.as_day(day)).cast(occ.schema["dt"].dataType)
+    summary = line(True, start, F.concat(F.col("cnt").cast("string"), F.lit(" classes")))
+    rows = sums.select("site", F.inline(F.concat("__lines", F.array(summary))))
+    return site_rank(rows, order or [])
 
 
 def _since_month(occ: DataFrame, as_of: str | dt.date, months: int) -> DataFrame:
@@ -158,6 +164,15 @@ def occ_history_instr(occ: DataFrame, as_of: str | dt.date, months: int = 1) ->
 # --- observations ---------------------------------------------------------------------
 
 
+def with_capacity(rows: DataFrame, capacity: DataFrame) -> DataFrame:
+    """``__seats`` of the row's site; a site without any is an error."""
+    seats = capacity.select("site", F.col("seats").alias("__seats"))
+    missing = F.raise_error(F.concat(F.lit("no capacity for site "), F.col("site"))).cast("int")
+    return rows.join(seats, "site", "left").withColumn(
+        "__seats", F.coalesce(F.col("__seats"), missing)
+    )
+
+
 def occ_snapshot(obs: DataFrame, capacity: DataFrame, as_of: str | dt.date) -> DataFrame:
     """Usable observations: no later than tomorrow, in a full-size room.
 
@@ -165,13 +180,7 @@ def occ_snapshot(obs: DataFrame, capacity: DataFrame, as_of: str | dt.date) -> D
     fewer seats than the site runs in another room and is left out. ``capacity`` has a row
     per site; a site without one is an error.
     """
-    seats = capacity.select("site", F.col("seats").alias("__seats"))
-    missing = F.raise_error(F.concat(F.lit("no capacity for site "), F.col("site"))).cast("int")
-    known = (
-        obs.where(clock.whole_days("dt", as_of, None, 1))
-        .join(seats, "site", "left")
-        .withColumn("__seats", F.coalesce(F.col("__seats"), missing))
-    )
+    known = with_capacity(obs.where(clock.whole_days("dt", as_of, None, 1)), capacity)
     full = F.col("soldout")
     return (
         known.withColumn("unavail", F.when(full, F.col("__seats")).otherwise(F.col("unavail")))
@@ -196,15 +205,20 @@ def _with_seats(pages: DataFrame, taken: Column, seats: Column) -> DataFrame:
 
 
 def marker_occupancy(
-    pages: DataFrame, taken: str, full: str, capacity: int, html: str = "html"
+    pages: DataFrame, taken: str, full: str, capacity: int | DataFrame, html: str = "html"
 ) -> DataFrame:
     """Count a marker of taken seats; the marker of a full class takes all of them.
 
-    Both markers are plain text, upper and lower case alike.
+    Both markers are plain text, upper and lower case alike. ``capacity`` is one number, or a
+    table of ``seats`` by ``site`` for pages with a ``site``; a site without seats is an error.
     """
     count = F.regexp_count(F.col(html), F.lit("(?i)" + re.escape(taken)))
     is_full = F.contains(F.lower(html), F.lit(full.lower()))
-    seats = F.lit(capacity)
+    if isinstance(capacity, int):
+        seats = F.lit(capacity)
+    else:
+        pages = with_capacity(pages, capacity)
+        seats = F.col("__seats")
     return _with_seats(pages, F.when(is_full, seats).otherwise(count), seats)
 
 

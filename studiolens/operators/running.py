@@ -75,8 +75,16 @@ def with_studio_number(
         .agg(F.sum(_one()).alias("__n"))
         .select("__date", before.alias("totnum"))
     )
-    # The day is the key here, so the first level has nothing to split.
-    levels = time_levels(["classdate", "datein"], "id")[1:]
+    # The day is the key here. Bookings of one class come over weeks, so they are cut by day and
+    # hour before they are cut by second: each level orders few buckets of the one above it.
+    second, block = time_levels(["classdate", "datein"], "id")[1:]
+    levels = [
+        {"__hour": instant("classdate", "hour")},
+        {"__at": second.pop("__at"), "__booked_day": instant("datein", "day")},
+        {"__booked_hour": instant("datein", "hour")},
+        second,
+        block,
+    ]
     counted = prefix_before(
         days, ["__date"], levels, ORDER, {"totnum": ("sum", _one())}, start, task_rows, plain
     )

@@ -114,28 +114,29 @@ def schedule_digest(
     line is the timetable of one day and site.
     """
     by = by or []
-    known = classes.select(*by, "classdate", "instructor", "classtype").distinct()
-    entry = F.concat(
-        _clock_text(F.col("classdate")),
-        F.lit(" "),
-        F.col("instructor"),
-        F.when(
-            F.lower("classtype") != default_type.lower(),
-            F.concat(F.lit(" ("), F.col("classtype"), F.lit(")")),
-        ).otherwise(""),
-    )
-    listed = F.array_sort(
-        F.collect_list(F.struct("classdate", "instructor", "classtype", entry.alias("entry")))
-    )
+
+    def entry(one: Column) -> Column:
+        return F.concat(
+            _clock_text(one["classdate"]),
+            F.lit(" "),
+            one["instructor"],
+            F.when(
+                F.lower(one["classtype"]) != default_type.lower(),
+                F.concat(F.lit(" ("), one["classtype"], F.lit(")")),
+            ).otherwise(""),
+        )
+
+    # Sets merge before the shuffle: what is sent is no larger than the timetable.
+    listed = F.array_sort(F.collect_set(F.struct("classdate", "instructor", "classtype")))
     day = F.col("day")
     names = F.array(*[F.lit(n.upper()) for n in DAY_NAMES])
     head = F.concat(
         F.get(names, F.dayofweek(day) - 1), F.lit(" "),
         F.month(day).cast("string"), F.lit("/"), F.dayofmonth(day).cast("string"), F.lit(": "),
     )
-    text = F.concat(head, F.array_join(F.transform("__listed", lambda c: c["entry"]), ", "))
+    text = F.concat(head, F.array_join(F.transform("__listed", entry), ", "))
     return (
-        known.groupBy(*by, F.to_date("classdate").alias("day"))
+        classes.groupBy(*by, F.to_date("classdate").alias("day"))
         .agg(listed.alias("__listed"))
         .withColumn("__text", text)
         .select(

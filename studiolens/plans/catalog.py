@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
 from studiolens import schema
 from studiolens.functions import clock
@@ -46,6 +49,7 @@ PACKAGES = ["small ring", "old rod", "hot plate"]
 PRICES = [("old ring", "34143.45"), ("old anvil", "80815.91")]
 LINK = "studio.example/reserve"
 SITES = ["site3", "site1"]
+BOOKING_NOW = dt.datetime(2024, 1, 15, 10, 30)
 STEP, APPROACH = 50, 5
 
 _QUERIES: dict[str, Query] = {}
@@ -204,10 +208,10 @@ _simple(
 
 @query("rode_never_paid")
 def _never_paid(spark, sf_dir):
-    cust, attend = roles.cust(spark, sf_dir), roles.attend_ev(spark, sf_dir)
-    # Only store credit counts as paying here: every test customer has bought something.
-    sale = roles.sale(spark, sf_dir).where(F.col("pmtype") == "Store Credit")
-    return retention.rode_never_paid(cust, attend, sale, "2024-01-30")
+    # Every test customer has bought something; among the riders one is no customer.
+    attend = roles.attend_ev(spark, sf_dir)
+    riders = attend.select(F.col("custid").alias("id"), "firstname", "lastname").distinct()
+    return retention.rode_never_paid(riders, attend, roles.sale(spark, sf_dir), "2024-01-31")
 
 
 _simple("last_attendance", retention.last_attend, "cust", "attend_ship")
@@ -256,6 +260,7 @@ _simple("future_bookings", retention.future_bookings, "attend_ship", "cust", as_
 # --- D: aggregations ------------------------------------------------------------------
 
 _simple("attendance_by_month", classes.attend_by_month, "attend_ship")
+_simple("attendance_by_month_named", classes.attend_by_month, "attend_ev")
 _simple(
     "rides_in_window",
     retention.rides_in_window, "attend_ship", "cust", start="1997-01-20", end="1998-06-16",
@@ -446,6 +451,15 @@ _simple(
     "marker_occupancy",
     occupancy.marker_occupancy, "pages", taken="<LI>", full="href=\"/The\"", capacity=40,
 )
+
+
+@query("marker_occupancy_by_site")
+def _markers_by_site(spark, sf_dir):
+    site = F.concat(F.lit("site"), (F.col("page_id") % 5).cast("string"))
+    pages = roles.table(spark, sf_dir, "pages").withColumn("site", site)
+    return occupancy.marker_occupancy(pages, "<LI>", "href=\"/The\"", roles.capacity(spark))
+
+
 _simple("spot_occupancy", occupancy.spot_occupancy, "pages", enrolled="<li>", seat="<(li|p)>")
 
 
@@ -496,6 +510,12 @@ def schedule_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("schedule_bookable_soon")
+def _bookable(spark, sf_dir):
+    rows = roles.attend_ev(spark, sf_dir).select("id", "classdate")
+    return schedule.bookable_soon(rows, BOOKING_NOW)
+
+
 @query("schedule_line_split")
 def _line_split(spark, sf_dir):
     return schedule.split_schedule(schedule_lines(spark, sf_dir))
@@ -567,6 +587,21 @@ def _full_refresh(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("full_refresh_refused")
+def _refused(spark, sf_dir):
+    """A table whose second load has a bad row holds the rows of the first."""
+    path = work_dir(spark, "openseries")
+    series = roles.openseries(spark, sf_dir)
+    tables.full_refresh(series.where(F.col("remaining") > 5), path)
+    bad = F.raise_error(F.lit("bad row")).cast("string")
+    broken = F.when(F.col("remaining") == 5, bad).otherwise(F.col("series"))
+    try:
+        tables.full_refresh(series.withColumn("series", broken), path)
+    except PySparkException:
+        return spark.read.parquet(path)
+    raise AssertionError("the bad row was loaded")
+
+
 def reloaded_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The days of one extract again, refunds taken out and totals doubled."""
     week = exports.extract_window(roles.sale(spark, sf_dir), "dt", SALES_DAY)
@@ -583,6 +618,27 @@ def _range_replace(spark, sf_dir):
     return tables.read_table(spark, path)
 
 
+def untimed(df: DataFrame, key: str, ts: str) -> DataFrame:
+    """A tenth of the rows without their time."""
+    return df.withColumn(ts, F.when(F.col(key) % 10 != 0, F.col(ts)))
+
+
+@query("range_replace_untimed")
+def _range_untimed(spark, sf_dir):
+    path = work_dir(spark, "sale")
+    for batch in (roles.sale(spark, sf_dir), reloaded_sales(spark, sf_dir)):
+        tables.replace_range_at(spark, path, untimed(batch, "custid", "dt"), "dt", grain="month")
+    return tables.read_table(spark, path)
+
+
+@query("key_upsert_untimed")
+def _upsert_untimed(spark, sf_dir):
+    path = work_dir(spark, "attend")
+    for batch in (roles.attend_ev(spark, sf_dir), changed_attendance(spark, sf_dir)):
+        tables.upsert_at(spark, path, untimed(batch, "id", "classdate"), ["id"], "classdate")
+    return tables.read_table(spark, path)
+
+
 @query("range_replace_frames")
 def _range_replace_frames(spark, sf_dir):
     return tables.replace_range(
@@ -661,36 +717,55 @@ def _email_list(spark, sf_dir):
 # --- G: streams, run over the whole table until nothing is left ------------------------
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The stream source takes folders or globs, not the name of a single file.
-    return files.parquet_stream(spark, f"{sf_dir}/events*.parquet", roles.SCHEMAS["events"])
+# Events before each of these days, and those after the last, arrive in a batch of their own.
+ARRIVALS = ("2024-01-08", "2024-01-16", "2024-01-24")
+
+
+def in_batches(
+    spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Runs a job again and again over a folder to which events are added in time order."""
+    path = work_dir(spark, "events")
+    events = roles.table(spark, sf_dir, "events")
+    for first, end in zip((None, *ARRIVALS), (*ARRIVALS, None), strict=True):
+        events.where(clock.half_open("ts", first, end)).write.mode("append").parquet(path)
+        start(files.parquet_stream(spark, path, roles.SCHEMAS["events"])).awaitTermination()
 
 
 @query("running_ride_number_stream")
 def _ride_stream(spark, sf_dir):
     home = work_dir(spark, "rides")
-    attend = roles.attend_from(event_stream(spark, sf_dir))
-    rides.stream_ride_number(
-        attend, f"{home}/out", f"{home}/state", f"{home}/checkpoint"
-    ).awaitTermination()
+
+    def start(events: DataFrame) -> StreamingQuery:
+        attend = roles.attend_from(events)
+        return rides.stream_ride_number(attend, f"{home}/out", f"{home}/state", f"{home}/checkpoint")
+
+    in_batches(spark, sf_dir, start)
     return spark.read.parquet(f"{home}/out").select("id", "custid", "num", "late")
 
 
 @query("occupancy_latest_stream")
 def _latest_stream(spark, sf_dir):
     home = work_dir(spark, "polls")
-    seen = polls_from(roles.attend_from(event_stream(spark, sf_dir)))
-    polls_job.keep_latest(seen, f"{home}/occ", f"{home}/checkpoint").awaitTermination()
+
+    def start(events: DataFrame) -> StreamingQuery:
+        seen = polls_from(roles.attend_from(events))
+        return polls_job.keep_latest(seen, f"{home}/occ", f"{home}/checkpoint")
+
+    in_batches(spark, sf_dir, start)
     return tables.read_table(spark, f"{home}/occ")
 
 
 @query("outage_alerts_stream")
 def _outage_stream(spark, sf_dir):
     home = work_dir(spark, "outages")
-    outages.stream_outage_alerts(
-        roles.probes_from(event_stream(spark, sf_dir)),
-        f"{home}/out", f"{home}/state", f"{home}/checkpoint",
-    ).awaitTermination()
+
+    def start(events: DataFrame) -> StreamingQuery:
+        return outages.stream_outage_alerts(
+            roles.probes_from(events), f"{home}/out", f"{home}/state", f"{home}/checkpoint"
+        )
+
+    in_batches(spark, sf_dir, start)
     return outages.alerts_of(spark.read.parquet(f"{home}/out"))
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from studiolens import schema
 from studiolens.operators import running
+from studiolens.session import remove_dir, work_dir
 from studiolens.sources import exports, tables
 
 
@@ -26,8 +28,13 @@ def load_attendance(
 ) -> None:
     """Replace rows by id, numbering the new ones on from what stays in the table.
 
-    Right when loads move forward in time, as each daily export does.
+    Right when loads move forward in time, as each daily export does. A row without a
+    customer is refused, and with it the export. The batch is parsed once, before anything changes.
     """
+    folder = work_dir(spark, "attendance")
+    missing = F.raise_error(F.lit("attendance without a customer")).cast("bigint")
+    incoming.withColumn("custid", F.coalesce("custid", missing)).write.parquet(folder)
+    incoming = spark.read.schema(incoming.schema).parquet(folder)
     stored = tables.stored_rows(spark, path)
     if stored is not None:
         stored = stored.select("id", "custid", "num", "totnum").join(
@@ -35,6 +42,7 @@ def load_attendance(
         )
     counted = running.with_both_numbers(incoming, stored)
     tables.upsert_at(spark, path, counted, ["id"], "classdate", grain=grain)
+    remove_dir(spark, folder)
 
 
 def ingest(
@@ -59,6 +67,6 @@ def ingest(
         spark,
         files.attendance,
         schema.ATTENDANCE,
-        required_header=list(schema.ATTENDANCE_HEADER.values()),
+        required_header=schema.ATTENDANCE_HEADER,
     )
     load_attendance(spark, place("attend"), attendance, grain)

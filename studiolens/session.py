@@ -72,3 +72,11 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.delete(folder, True)
+
+
+def move_dir(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder; False if it is not there or cannot be moved."""
+    jvm = spark.sparkContext._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(old) and fs.rename(old, new))

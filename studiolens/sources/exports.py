@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,19 +18,22 @@ def read_export(
     path: str,
     schema: T.StructType,
     encoding: str = "UTF-8",
-    required_header: list[str] | None = None,
+    required_header: dict[str, str] | None = None,
 ) -> DataFrame:
     """A CR-terminated CSV export with a header row and a fixed number of fields.
 
     Fields are read by position. One row of another length, or one value that does not
     fit its type, fails the whole file. Empty fields become NULL; blank lines are skipped.
+    Text stays as it is, numbers and times may have blanks around them. With
+    ``required_header`` (field to header name) these names must stand at the places of their fields.
     """
     if required_header:
         first = spark.read.text(path, lineSep=LINE_END).first()
-        found = {c.strip().strip('"') for c in (first.value if first else "").split(",")}
-        missing = [c for c in required_header if c not in found]
+        found = [c.strip().strip('"') for c in (first.value if first else "").split(",")]
+        places = {f.name: i for i, f in enumerate(schema)}
+        missing = [n for f, n in required_header.items() if found[places[f] : places[f] + 1] != [n]]
         if missing:
-            raise ValueError(f"header of {path} lacks {', '.join(missing)}")
+            raise ValueError(f"header of {path} lacks {', '.join(missing)} in place")
     text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
     raw = (
         spark.read.schema(text)
@@ -43,12 +46,14 @@ def read_export(
         .option("columnPruning", False)
         .csv(path)
     )
-    return raw.select(
-        *[
-            F.nullif(F.trim(F.col(f.name)), F.lit("")).cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
-    )
+
+    def value(field: T.StructField) -> Column:
+        text = F.col(field.name)
+        if not isinstance(field.dataType, T.StringType):
+            text = F.trim(text)
+        return F.nullif(text, F.lit("")).cast(field.dataType).alias(field.name)
+
+    return raw.select(*[value(field) for field in schema])
 
 
 def write_export(
@@ -74,6 +79,9 @@ def write_export(
         .option("header", True)
         .option("lineSep", LINE_END)
         .option("escape", '"')
+        # Text keeps the blanks around it.
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

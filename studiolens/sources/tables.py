@@ -8,17 +8,35 @@ and rewrites only the days it touches, never the whole history.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studiolens.session import remove_dir, work_dir
+from studiolens.session import move_dir, remove_dir, work_dir
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
-    """Replace the whole table."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the whole table, once all new rows are written.
+
+    They go to a folder beside the table whose name readers skip. A bad row fails that write
+    and the table stays as it is; only a finished one takes the table's place.
+    """
+    spark = df.sparkSession
+    parent, slash, _ = path.rstrip("/").rpartition("/")
+    fresh, old = (f"{parent}{slash}_{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    try:
+        df.write.parquet(fresh)
+    except Exception:
+        remove_dir(spark, fresh)
+        raise
+    swapped = move_dir(spark, path, old)
+    if not move_dir(spark, fresh, path):
+        if swapped:
+            move_dir(spark, old, path)
+        raise OSError(f"{fresh} could not take the place of {path}")
+    remove_dir(spark, old)
 
 
 def time_bounds(df: DataFrame, column: str) -> DataFrame:
@@ -59,6 +77,9 @@ def upsert(
 
 PART = "part_day"
 
+# The partition of rows without a time. It may hold rows of this day, too.
+NO_DAY = dt.date(1900, 1, 1)
+
 
 def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at a path, None before its first load."""
@@ -71,13 +92,24 @@ def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def _part(column: Column, grain: str) -> Column:
-    """The partition of a time: its day, or the first day of its month."""
-    return F.to_date(F.date_trunc(grain, column))
+    """The partition of a time: its day, or the first day of its month; never NULL."""
+    return F.coalesce(F.to_date(F.date_trunc(grain, column)), F.lit(NO_DAY))
 
 
-def _parts_in(df: DataFrame) -> list[dt.date]:
+def _parts_in(df: DataFrame) -> set[dt.date]:
     """Distinct partitions of a batch: one value per day of the batch, small by nature."""
-    return [row[PART] for row in df.select(PART).distinct().collect()]
+    return {row[PART] for row in df.select(PART).distinct().collect()}
+
+
+def _staged(spark: SparkSession, incoming: DataFrame, ts: str, grain: str) -> tuple[DataFrame, str]:
+    """The batch with its partitions, written once to the shared folder, and that folder.
+
+    It is read several times, it may come from the table about to change, and a bad row in
+    it must fail before anything changes.
+    """
+    folder = work_dir(spark, "incoming")
+    incoming.withColumn(PART, _part(F.col(ts), grain)).write.parquet(folder)
+    return spark.read.parquet(folder), folder
 
 
 def _swap_parts(
@@ -85,7 +117,7 @@ def _swap_parts(
     path: str,
     kept: DataFrame | None,
     incoming: DataFrame,
-    touched: list[dt.date],
+    touched: set[dt.date],
 ) -> None:
     """Rewrite the touched partitions as ``kept`` and ``incoming`` rows.
 
@@ -94,10 +126,11 @@ def _swap_parts(
     partition's rows together and still splits a large one. Touched partitions left
     without a row are removed at the end.
     """
-    filled = set(_parts_in(incoming))
+    emptied = touched - _parts_in(incoming)
     rows = incoming
     if kept is not None:
-        filled |= set(_parts_in(kept))
+        if emptied:
+            emptied -= _parts_in(kept.where(F.col(PART).isin(sorted(emptied))))
         rows = kept.unionByName(incoming.select(*kept.columns))
     (
         rows.hint("rebalance", F.col(PART))
@@ -106,26 +139,34 @@ def _swap_parts(
         .partitionBy(PART)
         .parquet(path)
     )
-    for part in sorted(set(touched) - filled):
+    for part in sorted(emptied):
         remove_dir(spark, f"{path}/{PART}={part.isoformat()}")
 
 
 def replace_range_at(
     spark: SparkSession, path: str, incoming: DataFrame, ts: str, grain: str = "day"
 ) -> None:
-    """Range replace on a partitioned table; reads the partitions of the range only."""
-    first, last = time_bounds(incoming, ts).first()
-    if first is None:
-        return
-    incoming = incoming.withColumn(PART, _part(F.col(ts), grain))
+    """Range replace on a partitioned table; reads the partitions of the range only.
+
+    Rows without a time lie in no range: stored ones stay, new ones are added.
+    """
+    incoming, folder = _staged(spark, incoming, ts, grain)
     stored = stored_rows(spark, path)
+    touched = _parts_in(incoming)
     if stored is None:
-        _swap_parts(spark, path, None, incoming, [])
-        return
-    edges = [_part(F.lit(edge), grain) for edge in (first, last)]
-    within = stored.where(F.col(PART).between(*edges))
-    kept = within.where((F.col(ts) < F.lit(first)) | (F.col(ts) > F.lit(last)))
-    _swap_parts(spark, path, kept, incoming, _parts_in(within))
+        _swap_parts(spark, path, None, incoming, set())
+    elif touched:
+        first, last = time_bounds(incoming, ts).first()
+        part, time = F.col(PART), F.col(ts)
+        within, kept = F.lit(False), time.isNull()
+        if first is not None:
+            within = part.between(*[_part(F.lit(edge), grain) for edge in (first, last)])
+            kept = kept | (time < F.lit(first)) | (time > F.lit(last))
+        if NO_DAY in touched:
+            within = within | (part == F.lit(NO_DAY))
+        old = stored.where(within)
+        _swap_parts(spark, path, old.where(kept), incoming, touched | _parts_in(old))
+    remove_dir(spark, folder)
 
 
 def upsert_at(
@@ -141,23 +182,30 @@ def upsert_at(
     or receive a row."""
     if latest_by:
         incoming = newest_per_key(incoming, keys, latest_by)
-    # Written once to the shared folder: it is read several times below, and it may itself
-    # come from the table that is about to change.
-    staged = work_dir(spark, "incoming")
-    incoming.withColumn(PART, _part(F.col(ts), grain)).write.parquet(staged)
-    incoming = spark.read.parquet(staged)
+    incoming, folder = _staged(spark, incoming, ts, grain)
     stored = stored_rows(spark, path)
     if stored is None:
-        _swap_parts(spark, path, None, incoming, [])
+        _swap_parts(spark, path, None, incoming, set())
     else:
         ids = incoming.select(*keys).distinct()
-        touched = set(_parts_in(incoming))
+        touched = _parts_in(incoming)
         if ts not in keys:
             # The stored row of a key may lie in another partition than the new one.
-            touched |= set(_parts_in(stored.select(PART, *keys).join(ids, keys, "left_semi")))
+            touched |= _parts_in(stored.select(PART, *keys).join(ids, keys, "left_semi"))
         kept = stored.where(F.col(PART).isin(sorted(touched))).join(ids, keys, "left_anti")
-        _swap_parts(spark, path, kept.select(*stored.columns), incoming, sorted(touched))
-    remove_dir(spark, staged)
+        _swap_parts(spark, path, kept.select(*stored.columns), incoming, touched)
+    remove_dir(spark, folder)
+
+
+def stored_in_days_of(
+    spark: SparkSession, path: str, batch: DataFrame, ts: str, grain: str = "day"
+) -> DataFrame | None:
+    """The stored rows in the partitions that a batch falls into, None before the first load."""
+    stored = stored_rows(spark, path)
+    if stored is None:
+        return None
+    parts = _parts_in(batch.select(_part(F.col(ts), grain).alias(PART)))
+    return stored.where(F.col(PART).isin(sorted(parts))).drop(PART)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

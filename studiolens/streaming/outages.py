@@ -16,23 +16,40 @@ def stream_outage_alerts(
 ) -> StreamingQuery:
     """Append alerts to ``out``; the run of failures per target goes on across batches.
 
-    Samples are taken in time order within a batch; batches must move forward in time.
+    Samples are taken in time order within a batch. One that lies before the last sample of its
+    target comes late: it is written with the reason ``late`` and changes no run.
     """
 
     def each(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         before = state_before(spark, state, epoch)
-        states = alerts.probe_states(batch, before)
-        place = f"{out}/epoch={epoch}"
-        states.write.mode("overwrite").parquet(place)
-        after = alerts.last_state(spark.read.parquet(place))
+        fresh, late = batch, None
+        if before is not None:
+            last = before.select("target", F.struct("ts", "event_id").alias("__last"))
+            marked = batch.join(last, "target", "left").withColumn(
+                "__late", F.coalesce(F.struct("ts", "event_id") < F.col("__last"), F.lit(False))
+            )
+            fresh, late = marked.where(~F.col("__late")), marked.where("__late")
+        states = alerts.probe_states(fresh, before).persist()
+        found = states.where(F.col("alert")).drop("alert")
+        if late is not None:
+            nothing = F.lit(None).cast(found.schema["downcount"].dataType)
+            found = found.unionByName(
+                late.select(
+                    "target", "ts", "event_id", "down",
+                    nothing.alias("downcount"), F.lit("late").alias("reason"),
+                )
+            )
+        found.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        after = alerts.last_state(states)
         if before is not None:
             after = after.unionByName(before.join(after, "target", "left_anti"))
         save_state(after, state, epoch)
+        states.unpersist()
 
     return run_batches(probes, each, checkpoint, every=every)
 
 
-def alerts_of(states: DataFrame) -> DataFrame:
-    """The alerts among the samples a stream has written."""
-    return states.where(F.col("alert")).drop("alert", "epoch")
+def alerts_of(written: DataFrame) -> DataFrame:
+    """The alerts a stream has written, without the late samples."""
+    return written.where(F.col("reason") != "late").drop("epoch")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from studiolens.sources import tables
+from studiolens.sources.tables import newest_per_key
 from studiolens.streaming.files import run_batches
 
 
@@ -36,16 +37,22 @@ def stream_occ_latest(
 
 
 def keep_latest(
-    obs: DataFrame, table: str, checkpoint: str, polled: str = "poll_ts",
-    keep: str = "3 days", every: str | None = None,
+    obs: DataFrame, table: str, checkpoint: str, polled: str = "poll_ts", every: str | None = None
 ) -> StreamingQuery:
-    """Upsert every change of the latest snapshots into a stored table.
+    """Keep the latest snapshot per class and site in a stored table.
 
-    Writing a batch twice gives the same rows.
+    The table is the state: a batch is compared with the stored rows of its own days, so a
+    poll may come however late, and is kept only if it is the newest of its class. Writing a batch
+    twice gives the same rows.
     """
+    keys = ["dt", "site"]
 
     def each(batch: DataFrame, epoch: int) -> None:
-        tables.upsert_at(batch.sparkSession, table, batch, ["dt", "site"], "dt")
-
-    latest = stream_occ_latest(obs, polled, keep)
-    return run_batches(latest, each, checkpoint, mode="update", every=every)
+        spark = batch.sparkSession
+        newest = newest_per_key(batch, keys, polled)
+        stored = tables.stored_in_days_of(spark, table, newest, "dt")
+        if stored is not None:
+            newest = newest.unionByName(stored.select(*newest.columns))
+        tables.upsert_at(spark, table, newest, keys, "dt", latest_by=polled)
+
+    return run_batches(obs, each, checkpoint, every=every)

@@ -55,11 +55,43 @@ def test_encoding_is_a_parameter(spark, write):
 
 
 def test_missing_header_names_are_refused(spark, write):
-    names = list(schema.ATTENDANCE_HEADER.values())
+    names = schema.ATTENDANCE_HEADER
     with pytest.raises(ValueError, match="CUSTOMERID"):
         exports.read_export(spark, write(HEAD, GOOD), schema.ATTENDANCE, required_header=names)
 
 
+def test_header_names_must_stand_in_their_places(spark, write):
+    names = {"dt": "DT", "custid": "CUSTID"}
+    good = exports.read_export(spark, write(HEAD, GOOD), schema.SALES, required_header=names)
+    assert good.count() == 1
+    swapped = HEAD.replace("DT,CUSTID", "CUSTID,DT")
+    with pytest.raises(ValueError, match="DT, CUSTID"):
+        exports.read_export(spark, write(swapped, GOOD), schema.SALES, required_header=names)
+
+
+def test_text_keeps_its_blanks_and_numbers_lose_them(spark, write, tmp_path):
+    line = GOOD.replace("Ann", "  Ann ").replace(",7,", ", 7 ,").replace("75.0", " 75.0").replace(",,", ',"  ",')
+    row = exports.read_export(spark, write(HEAD, line), schema.SALES).first()
+    assert (row.firstname, row.lastname, row.custid, row.total) == ("  Ann ", "  ", 7, Decimal("75.00"))
+    df = spark.createDataFrame([row], schema.SALES)
+    exports.write_export(df, str(tmp_path / "back"), schema.SALES)
+    assert exports.read_export(spark, str(tmp_path / "back"), schema.SALES).first() == row
+
+
+def test_a_bad_file_leaves_the_table_as_it_is(spark, write):
+    path = work_dir(spark, "sale")
+    tables.full_refresh(exports.read_export(spark, write(HEAD, GOOD), schema.SALES), path)
+    for bad in ("2014-07-08 06:00:00.0,7,Card", GOOD.replace(",7,", ",seven,")):
+        with pytest.raises(Exception, match="(?i)malformed|CAST_INVALID_INPUT"):
+            tables.full_refresh(exports.read_export(spark, write(HEAD, GOOD, bad), schema.SALES), path)
+        assert tables.stored_rows(spark, path).count() == 1
+    again = tables.stored_rows(spark, path)
+    tables.full_refresh(again.unionByName(again), path)  # a table may be made from itself
+    assert tables.stored_rows(spark, path).count() == 2
+    left = os.listdir(os.path.dirname(path))
+    assert not [name for name in left if name.startswith(("_new", "_old"))]
+
+
 def test_leading_zeros_stay(spark, tmp_path):
     row = [""] * len(schema.CUSTOMERS)
     row[[f.name for f in schema.CUSTOMERS].index("zip")] = "06877"
@@ -112,6 +144,49 @@ def test_an_empty_file_replaces_nothing(spark):
     assert tables.replace_range(old, old.where("false"), "dt").count() == 1
 
 
+NEVER = None
+OLD = [("2014-07-01 09:00:00", 1), (NEVER, 2), ("2014-07-03 09:00:00", 3)]
+
+
+@pytest.mark.parametrize(
+    "batch",
+    [
+        [(NEVER, 9)],
+        [(NEVER, 9), ("2014-07-03 10:00:00", 4)],
+        [("2014-07-03 09:00:00", 4)],
+        [("2014-07-01 09:00:00", 5), (NEVER, 6), ("2014-07-05 09:00:00", 7)],
+        [],
+    ],
+)
+@pytest.mark.parametrize("grain", ["day", "month"])
+def test_rows_without_a_time_are_never_lost(spark, batch, grain):
+    """Both forms agree, on batches with, without and of nothing but such rows."""
+
+    def frame(rows):
+        return sale(spark, [(d, n, "Card", "1.00", "x", "t") for d, n in rows or OLD]).where(F.lit(bool(rows)))
+
+    for load, whole in (
+        (lambda p, df: tables.replace_range_at(spark, p, df, "dt", grain), lambda a, b: tables.replace_range(a, b, "dt")),
+        (lambda p, df: tables.upsert_at(spark, p, df, ["custid"], "dt", grain=grain), lambda a, b: tables.upsert(a, b, ["custid"])),
+    ):
+        path = work_dir(spark, "sale")
+        load(path, frame(OLD))
+        load(path, frame(batch))
+        want = values(whole(frame(OLD), frame(batch)), "custid", "dt")
+        assert values(tables.read_table(spark, path), "custid", "dt") == want
+        assert {n for _, n in batch} <= {r[0] for r in want}
+        assert (2, None) in want
+
+
+def test_attendance_without_a_customer_is_refused(spark):
+    path = work_dir(spark, "attend")
+    load.load_attendance(spark, path, attend(spark, [(1, 1, "Enrolled", "2024-01-01 06:00:00")]))
+    bad = attend(spark, [(2, 1, "Enrolled", "2024-01-02 06:00:00"), (3, None, "Enrolled", "2024-01-02 06:00:00")])
+    with pytest.raises(Exception, match="without a customer"):
+        load.load_attendance(spark, path, bad)
+    assert tables.read_table(spark, path).count() == 1
+
+
 def test_upsert_moves_a_row_to_its_new_day(spark):
     path = work_dir(spark, "attend")
     old = attend(spark, [(1, 1, "Enrolled", "2024-01-01 06:00:00"),

@@ -101,6 +101,22 @@ def test_a_large_customer_is_spread_over_tasks(spark):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < n * 8 // 10 // 4
 
 
+def test_bucket_totals_of_a_large_day_are_spread(spark):
+    """Bookings of one class at a different second each: no task orders most of the totals."""
+    n = 60_000
+    rows = spark.range(n).select(
+        "id", (F.col("id") % 500).alias("custid"), F.lit("Enrolled").alias("status"),
+        F.lit("2024-01-20 06:00:00").cast("timestamp_ntz").alias("classdate"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 20).cast("timestamp_ntz").alias("datein"),
+    )
+    got = running.with_studio_number(rows, task_rows=1_000)
+    assert got.where(F.col("totnum") != F.col("id") + 1).count() == 0
+    # Of the buckets of each level within one bucket above it, there are few.
+    levels = rows.select(F.to_date("datein").alias("d"), F.hour("datein").alias("h"), F.date_trunc("second", "datein").alias("s")).distinct()
+    assert levels.select("d").distinct().count() < 20
+    assert levels.groupBy("d", "h").agg(F.countDistinct("s").alias("n")).agg(F.max("n")).first()[0] <= 3600
+
+
 @settings(
     max_examples=8, deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture],

@@ -1,9 +1,11 @@
 """Streams over several batches against the batch operators."""
 
 import time
+from functools import reduce
 
 import pytest
 from frames import attend, ts, values
+from pyspark.sql import DataFrame
 from test_alerts import KNOWN, samples
 
 from studiolens.operators import alerts, occupancy, running
@@ -67,6 +69,18 @@ def test_outages_go_on_across_batches(spark, stream):
     assert values(got, *want.columns) == values(want, *want.columns)
 
 
+def test_a_late_sample_changes_no_run(spark, stream):
+    parts = [samples(spark, [0, 1], first=5), samples(spark, [1], first=1), samples(spark, [1, 0], first=7)]
+    home = work_dir(spark, "outages")
+    outages.stream_outage_alerts(
+        stream(*parts), f"{home}/out", f"{home}/state", f"{home}/check"
+    ).awaitTermination()
+    written = spark.read.parquet(f"{home}/out")
+    want = alerts.outage_alerts(parts[0].unionByName(parts[2]))
+    assert values(outages.alerts_of(written), *want.columns) == values(want, *want.columns)
+    assert written.where("reason = 'late'").count() == 1
+
+
 def test_latest_poll_wins_across_batches(spark, stream):
     columns = "dt timestamp_ntz, site string, instr string, unavail int, total int, poll_ts timestamp_ntz"
 
@@ -80,13 +94,16 @@ def test_latest_poll_wins_across_batches(spark, stream):
         seen((six, "a", 1, "2024-01-01 10:00:00"), (six, "b", 2, "2024-01-01 10:00:00")),
         seen((six, "a", 5, "2024-01-01 10:04:00"), (six, "a", 3, "2024-01-01 10:02:00")),
         seen((six, "a", 9, "2024-01-01 09:00:00"), (seven, "a", 4, "2024-01-01 10:06:00")),
+        seen((seven.replace("01-02", "02-20"), "a", 6, "2024-02-19 10:00:00")),
+        # Weeks late, yet the newest of its class.
+        seen((six, "b", 7, "2024-01-01 10:08:00"), (six, "a", 8, "2024-01-01 10:03:00")),
     ]
     home = work_dir(spark, "polls")
     polls.keep_latest(stream(*parts), f"{home}/occ", f"{home}/check").awaitTermination()
     got = tables.read_table(spark, f"{home}/occ")
-    want = occupancy.occ_latest(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    want = occupancy.occ_latest(reduce(DataFrame.unionByName, parts))
     assert values(got, *want.columns) == values(want, *want.columns)
-    assert [r[0] for r in values(got, "unavail")] == [2, 4, 5]
+    assert [r[0] for r in values(got, "unavail")] == [4, 5, 6, 7]
 
 
 def test_a_repeated_batch_writes_the_same(spark):
