@@ -59,16 +59,18 @@ class WordEncoder:
     pieces. Both are tried on a probe, and texts are encoded whole by a tokenizer that does otherwise.
     """
 
-    _PROBE = "Ab,Cd 12;x\ny--(z) ..\t7a  END"
+    _PROBE = "Àß,é! Ab,Cd 12;x\ny--(z) ..\t7a  END"
 
-    # Printable ASCII without the apostrophe, with which contractions begin, or special tokens.
-    _plain = staticmethod(re.compile(rb"(?!.*<\|)[!-&(-~]+").fullmatch)
-    _pieces = staticmethod(re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+").findall)
+    # Printable ASCII and letters up to U+00FF, without special tokens and the apostrophe, with
+    # which contractions begin. Such a word has one form, and each letter one lower case.
+    _plain = staticmethod(re.compile("(?!.*<\\|)[!-&(-~À-ÖØ-öø-ÿ]+").fullmatch)
+    _pieces = staticmethod(re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall)
 
     def __init__(self, tokenizer: str):
         import os
 
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         if not os.path.exists(tokenizer):
             import public_tokenizers
@@ -77,7 +79,8 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._library = Tokenizer.from_file(tokenizer)
         self._words: dict[bytes, bytes] = {}
-        self._parts: dict[bytes, bytes] = {}
+        self._parts: dict[str, bytes] = {}
+        self._bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         probe = self._PROBE.encode()
         self._by_word = True
         self._by_word = next(self.encode([probe])) == self._whole([probe])[0]
@@ -86,13 +89,14 @@ class WordEncoder:
         found = self._library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [_packed(e.ids) for e in found]
 
-    def _word(self, word: bytes) -> bytes:
+    def _word(self, word: str) -> bytes:
         """Ids of a plain word."""
         ids = []
         for part in self._pieces(word.lower()):
             own = self._parts.get(part)
             if own is None:
-                own = _packed([t.id for t in self._library.model.tokenize(part.decode())])
+                shown = part if part.isascii() else self._bytes.pre_tokenize_str(part)[0][0]
+                own = _packed([t.id for t in self._library.model.tokenize(shown)])
                 if len(part) <= _CACHED_LENGTH:
                     self._parts[part] = own
             ids.append(own)
@@ -108,8 +112,8 @@ class WordEncoder:
                 cache.clear()
         words, known = [text.split() for text in texts], self._words
         new = list({w for own in words for w in own}.difference(known))
-        plain = [w for w in new if self._plain(w)]
-        known.update((w, self._word(w)) for w in plain)
+        plain = [w for w in new if self._plain(w.decode())]
+        known.update((w, self._word(w.decode())) for w in plain)
         others = list(set(new).difference(plain))
         known.update(zip(others, self._whole(others), strict=True))
         for own in words:
