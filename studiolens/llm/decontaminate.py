@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from studiolens.llm.shared import ascii_lower, staged
+from studiolens.llm.shared import ascii_lower, columns_of, staged
 
 WINDOW = 10
 ADDED = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -78,7 +78,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> tuple[D
         split.select("key", F.explode(seeds_for(True)).alias("seed")).join(known, "seed", "left_semi").select("key").distinct(),
         "suspects",
     )
-    suspects = docs.withColumn("key", _key()).join(maybe, "key", "left_semi")
+    suspects = docs.select("text", _key().alias("key")).join(maybe, "key", "left_semi")
     every = F.concat(
         *[
             F.expr(
@@ -114,37 +114,40 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
         .groupBy("key")
         .agg(F.collect_set("item").alias("items"))
     )
-    result = staged(covered.join(items, "key").withColumnRenamed("key", "key_"), "contaminated")
-    names = F.array_join(F.array_sort(F.coalesce("items", F.array().cast("array<string>"))), ",")
-    n_hit = F.coalesce("n_hit", F.lit(0))
+    result = staged(
+        covered.join(items, "key").withColumnsRenamed({"key": "__key_", "items": "__items", "n_hit": "__n_hit"}),
+        "contaminated",
+    )
+    names = F.array_join(F.array_sort(F.coalesce("__items", F.array().cast("array<string>"))), ",")
+    n_hit = F.coalesce("__n_hit", F.lit(0))
     counted = docs.withColumns(
         {"__key": _key(), "n_words": F.coalesce(F.regexp_count("text", F.lit(_CASED)), F.lit(0)).cast("long")}
     )
     return (
-        counted.join(result, F.col("__key") == F.col("key_"), "left")
+        counted.join(result, F.col("__key") == F.col("__key_"), "left")
         .withColumns(
             {
                 "contaminated": n_hit > 0,
-                "n_items": F.coalesce(F.size("items"), F.lit(0)).cast("long"),
+                "n_items": F.coalesce(F.size("__items"), F.lit(0)).cast("long"),
                 "items_sha256": F.sha2(names, 256),
                 "n_hit": n_hit.cast("long"),
             }
         )
-        .drop("__key", "key_", "items")
+        .drop("__key", "__key_", "__items", "__n_hit")
     )
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any window, with the columns of ``docs``."""
     found, _ = hits(docs, benchmark, window)
-    hit = staged(found.select("key").distinct(), "contaminated")
-    return docs.withColumn("key", _key()).join(hit, "key", "left_anti").select(*docs.columns)
+    hit = staged(found.select(F.col("key").alias("__key")).distinct(), "contaminated")
+    return docs.withColumn("__key", _key()).join(hit, "__key", "left_anti").select(*columns_of(docs))
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """All documents, the words within any window taken out of their text."""
     found, _ = hits(docs, benchmark, window)
-    spans = staged(found.groupBy("key").agg(F.collect_set(F.struct("at", "n")).alias("__spans")), "spans")
+    spans = staged(found.groupBy(F.col("key").alias("__key")).agg(F.collect_set(F.struct("at", "n")).alias("__spans")), "spans")
     cut = F.expr(
         "array_join(zip_with(__gaps, __words, (gap, word) -> concat(gap, coalesce(word, ''))), '')"
     )
@@ -152,8 +155,8 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         "transform(__words, (word, i) -> if(exists(__spans, s -> i >= s.at and i < s.at + s.n), '', word))"
     )
     return (
-        docs.withColumn("key", _key())
-        .join(spans, "key", "left")
+        docs.withColumn("__key", _key())
+        .join(spans, "__key", "left")
         .withColumns(
             {
                 "__gaps": F.when(F.col("__spans").isNotNull(), F.split("text", _CASED, -1)),
@@ -162,5 +165,5 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         )
         .withColumn("__words", kept)
         .withColumn("text", F.coalesce(cut, F.col("text")))
-        .select(*docs.columns)
+        .select(*columns_of(docs))
     )

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from studiolens.llm.shared import columns_of
+
 DIMENSIONS = 1024
 UNKNOWN = "und"
 ADDED = ("lang_pred", "score")
@@ -187,4 +189,4 @@ def spoken(docs: DataFrame, teachers: DataFrame, languages: list[str] | None = N
     """
     judged = with_language(docs, teachers)
     wanted = F.col("lang_pred") != UNKNOWN if languages is None else F.col("lang_pred").isin(languages)
-    return judged.where(wanted & (F.col("score") > least)).select(*docs.columns)
+    return judged.where(wanted & (F.col("score") > least)).select(*columns_of(docs))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from studiolens.llm.shared import SPACE, staged
+from studiolens.llm.shared import columns_of, SPACE, staged
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -74,16 +74,16 @@ def with_copies(
     docs = docs.drop(*ADDED)
     sizes = docs.select("source", word_count(F.col("text")).alias("size"))
     # Written, so that its size is known: the rates are then broadcast, and texts stay where they are.
-    goal = staged(targets(sizes, weights, most).withColumnRenamed("source", "source_"), "rates")
+    goal = staged(targets(sizes, weights, most).withColumnRenamed("source", "__source"), "rates")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     extra = F.col("__coin") < rate - F.floor(rate)
     own = docs.withColumns(
         {"size": word_count(F.col("text")), "__coin": coin(seed, F.col("doc_id"), F.col("text"))}
     )
     return (
-        own.join(goal, own["source"].eqNullSafe(goal["source_"]), "left")
+        own.join(goal, own["source"].eqNullSafe(goal["__source"]), "left")
         .withColumn("copies", (F.floor(rate) + extra.cast("long")).cast("long"))
-        .drop("source_", "__coin")
+        .drop("__source", "__coin")
     )
 
 
@@ -92,4 +92,4 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     copied = with_copies(docs, **how)
     return copied.withColumn(
         "__copy", F.explode(F.expr("array_repeat(0, cast(copies as int))"))
-    ).select(*docs.columns)
+    ).select(*columns_of(docs))

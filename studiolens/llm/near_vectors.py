@@ -208,16 +208,16 @@ def with_links(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -
         classes.join(links, "class", "left")
         .join(component, F.col("first") == F.col("node"), "left")
         .select(
-            F.col("label").alias("label_"),
+            F.col("label").alias("__label"),
             F.col("__vec").alias("__vec_"),
             (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
             F.coalesce("component", "first").alias("component_id"),
         )
     )
-    match = (F.col("label") == F.col("label_")) & (F.col("__vec") == F.col("__vec_"))
+    match = (F.col("label") == F.col("__label")) & (F.col("__vec") == F.col("__vec_"))
     return (
         rows.join(found, match, "left")
-        .drop("label_", "__vec_", "__vec", "embedding")
+        .drop("__label", "__vec_", "__vec", "embedding")
         .withColumns(
             {
                 "n_links": F.coalesce("n_links", F.lit(0)).cast("long"),

@@ -1,8 +1,9 @@
-"""Helpers the operators of this subpackage share."""
+"""Helpers the operators of this subpackage share.
 
-from __future__ import annotations
+Columns the operators need for themselves beside those of the input begin with two underscores.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read again.
 
@@ -34,11 +40,3 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, UPPER, UPPER.lower())
-
-
-def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality of ``keys``; ``right`` has them with a trailing underscore."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[f"{key}_"])
-    return condition

@@ -166,11 +166,13 @@ def _grouped(
         "fp", "first", F.coalesce("component", "fp").alias("component")
     )
     first = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    member = labelled.join(first, "component").select("fp", F.col("component").alias("__component"), "component_id")
+    member = labelled.join(first, "component").select(
+        F.col("fp").alias("__fp_"), F.col("component").alias("__component"), "component_id"
+    )
     return (
-        printed.join(member, F.col("__fp") == F.col("fp"))
+        printed.join(member, F.col("__fp") == F.col("__fp_"))
         .withColumn("fingerprint", F.lower(F.lpad(F.hex("__fp"), 16, "0")))
-        .drop("__fp", "fp")
+        .drop("__fp", "__fp_")
     )
 
 

@@ -148,10 +148,10 @@ def with_token_counts(
     counts = (
         pieces.repartition("key", "k")
         .mapInArrow(count_pieces, _ddl(_COUNT))
-        .groupBy("key")
+        .groupBy(F.col("key").alias("__key"))
         .agg(F.sum("n").alias("n_tokens"))
     )
-    spliced = huge.join(counts, F.col("__key") == F.col("key")).drop("__key", "key")
+    spliced = huge.join(counts, "__key").drop("__key")
     return plain.unionByName(spliced).withColumns(
         {
             "n_bytes": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"),

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studiolens.llm.shared import ascii_lower
+from studiolens.llm.shared import ascii_lower, columns_of
 
 ADDED = ("host", "path", "rule", "verdict")
 ALLOW, BLOCK = "allow", "block"
@@ -85,11 +85,11 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame
         .where(F.col("digest") == F.col("full"))
         .groupBy("url")
         .agg(F.max(rank).alias("best"))
-        .select(F.col("url").alias("url_"), "best.rule", "best.verdict")
+        .select(F.col("url").alias("__url"), "best.rule", "best.verdict")
     )
     return (
-        pages.join(decided, F.col("url") == F.col("url_"), "left")
-        .drop("url_")
+        pages.join(decided, F.col("url") == F.col("__url"), "left")
+        .drop("__url")
         .withColumns(
             {
                 "host": host_of(F.col("url")),
@@ -102,4 +102,4 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame
 
 def kept(pages: DataFrame, rules: DataFrame, default: str = ALLOW) -> DataFrame:
     """The pages whose URL is allowed, with the columns of ``pages``."""
-    return judge(pages, rules, default).where(F.col("verdict") == ALLOW).select(*pages.columns)
+    return judge(pages, rules, default).where(F.col("verdict") == ALLOW).select(*columns_of(pages))
