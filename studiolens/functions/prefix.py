@@ -5,7 +5,7 @@ That is the best plan for keys of ordinary size, and it is what happens to them
 with more rows than a task should hold are cut into buckets instead: days, instants, blocks
 of ids. Their running aggregate is composed of what came before the day, before the instant
 within the day, before the block within the instant, and before the row within the block.
-Every row, of either kind, is shuffled once.
+Where there are large keys, their rows are read once more for the totals of their buckets.
 """
 
 from __future__ import annotations
