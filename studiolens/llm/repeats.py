@@ -18,7 +18,7 @@ have to be told apart, so the recursion ends after three steps:
 
 Texts do not move. They are written once, and each task works on one file of them. What is
 shuffled are names, a few bytes each and once per file, to buckets of bounded size where they are
-sorted; what comes back is three bits for each. A name that a third of all documents hold is one name per file. Names that only narrow the
+sorted; what comes back is three bits for each. What a step has found is written per file. A name that a third of all documents hold is one name per file. Names that only narrow the
 search have 48 bits; those that decide have 96.
 
 Defined cases: a null or empty text has no bytes and nothing is removed; texts under ``LENGTH``
@@ -30,6 +30,7 @@ input are kept, those named in :data:`ADDED` are replaced.
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -55,7 +56,7 @@ _NARROW, _DECIDE = 6, 12
 
 # Names that meet in one bucket, about, and rows in a file of texts.
 BUCKET_NAMES = 2_000_000
-FILE_ROWS = 20_000
+FILE_ROWS = 5_000
 
 
 def _table(names: list[bytes], width: int) -> np.ndarray:
@@ -152,149 +153,171 @@ def _sorter(width: int, shared: int) -> Callable[[pa.Table], pa.Table]:
     return meet
 
 
-def read_texts(path: str) -> pa.Table:
+def read_file(path: str, columns: list[str] | None = None) -> pa.Table:
     import pyarrow.parquet as pq
     from pyarrow import fs
 
     system, name = fs.FileSystem.from_uri(path)
     with system.open_input_file(name) as file:
-        return pq.read_table(file)
-
-
-class Texts:
-    """The texts of one file, taken through the steps with the replies so far."""
-
-    def __init__(self, texts: list[bytes], replies: list[list], buckets: int):
-        self._texts, self._replies, self._buckets = texts, replies, buckets
-        self.starts = [np.zeros(0, np.int64)] * len(texts)
-        self.copies: set[int] = set()
-
-    def names(self, step: int) -> Names:
-        """The names to send in ``step``; all steps before it are resolved."""
-        steps = (self._whole, self._sampled, self._ranges, self._strings)
-        state = None
-        for k in range(step + 1):
-            names, resolve = steps[k](state)
-            if k == step:
-                return names
-            state = resolve(names.flags(self._replies[k], self._buckets))
-        raise ValueError(step)
-
-    def resolve(self) -> None:
-        """Sets ``starts``: where repeated strings begin, per text, and ``copies``: texts that are one."""
-        state = None
-        for k, prepare in enumerate((self._whole, self._sampled, self._ranges, self._strings)):
-            names, resolve = prepare(state)
-            state = resolve(names.flags(self._replies[k], self._buckets))
-
-    def _whole(self, _):
+        return pq.read_table(file, columns=columns)
+
+
+def runs(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The union of the ranges ``low`` to ``high``, as ranges that do not touch."""
+    if not len(low):
+        return np.zeros((0, 2), np.int64)
+    order = np.argsort(low, kind="stable")
+    low, reach = low[order], np.maximum.accumulate(high[order])
+    breaks = np.flatnonzero(low[1:] > reach[:-1] + 1)
+    return np.stack([low[np.concatenate([[0], breaks + 1])], reach[np.concatenate([breaks, [len(low) - 1]])]], axis=1)
+
+
+def _spread(ranges: np.ndarray) -> np.ndarray:
+    """All numbers in the ranges."""
+    return np.concatenate([np.zeros(0, np.int64), *[np.arange(a, b + 1) for a, b in ranges.tolist()]])
+
+
+class Step:
+    """One step over the texts of a file: the names to send, and what their flags tell."""
+
+    def __init__(self, texts: list[bytes], state: dict):
+        """``state`` is what the steps before have found."""
+
+    names: Names
+
+    def found(self, flags: np.ndarray) -> dict:
+        raise NotImplementedError
+
+
+class Whole(Step):
+    """Which texts are copies, and which of them take part."""
+
+    def __init__(self, texts, state):
         import xxhash
 
-        long = [i for i, t in enumerate(self._texts) if len(t) >= LENGTH]
-        names = Names(_table([xxhash.xxh3_128_digest(self._texts[i])[:_DECIDE] for i in long], _DECIDE))
+        self._long = np.array([i for i, t in enumerate(texts) if len(t) >= LENGTH], np.int64)
+        digests = [xxhash.xxh3_128_digest(texts[i])[:_DECIDE] for i in self._long.tolist()]
+        self.names = Names(_table(digests, _DECIDE))
+
+    def found(self, flags):
+        return {"copies": self._long[flags[:, 0]], "active": self._long[flags[:, 2]]}
 
-        def resolve(flags):
-            self.copies = {i for i, repeated in zip(long, flags[:, 0].tolist(), strict=True) if repeated}
-            return [i for i, goes_on in zip(long, flags[:, 2].tolist(), strict=True) if goes_on]
 
-        return names, resolve
+class Sampled(Step):
+    """The sampled places whose next bytes occur elsewhere, per text."""
 
-    def _sampled(self, active: list[int]):
+    def __init__(self, texts, state):
         import xxhash
 
         width, digest = LENGTH - PERIOD + 1, xxhash.xxh3_64_digest
-        places, names = [], []
-        for i in active:
-            text = self._texts[i]
-            grid = np.arange(0, len(text), PERIOD)[:, None] + np.array(COVER)[None, :]
-            own = grid.ravel()
-            own = own[own <= len(text) - width]
-            places.append(own)
-            names.append(b"".join([digest(text[p : p + width]) for p in own.tolist()]))
-        table = Names(_table(names, 8)[:, :_NARROW])
-
-        def resolve(flags):
-            ends = np.cumsum([len(p) for p in places]).tolist()
-            return [(i, p[flags[e - len(p) : e, 0]]) for i, p, e in zip(active, places, ends, strict=True)]
-
-        return table, resolve
-
-    def _ranges(self, sampled: list[tuple[int, np.ndarray]]):
+        self._copies, self._places, names = state["copies"], [], []
+        for i in state["active"].tolist():
+            text = texts[i]
+            grid = (np.arange(0, len(text), PERIOD)[:, None] + np.array(COVER)[None, :]).ravel()
+            grid = grid[grid <= len(text) - width]
+            self._places.append((i, grid))
+            names.append(b"".join([digest(text[p : p + width])[:_NARROW] for p in grid.tolist()]))
+        self.names = Names(_table(names, _NARROW))
+
+    def found(self, flags):
+        ends = np.cumsum([len(p) for _, p in self._places]).tolist()
+        repeated = [(i, p[flags[e - len(p) : e, 0]]) for (i, p), e in zip(self._places, ends, strict=True)]
+        return {"copies": self._copies, "sampled": [(i, p.astype(np.int32)) for i, p in repeated if len(p)]}
+
+
+class Ranges(Step):
+    """Where strings begin that are repeated for sure, and those to ask for, per text."""
+
+    def __init__(self, texts, state):
         import xxhash
 
-        spans, names = [], []
         narrow, decide = xxhash.xxh3_64_digest, xxhash.xxh3_128_digest
-        for i, places in sampled:
-            text, last = self._texts[i], len(self._texts[i]) - LENGTH
-            for place in places.tolist():
-                for near, far in _RANGES:
-                    low, high = max(place - far, 0), min(place - near, last)
-                    if low > high:
-                        continue
-                    spans.append((i, low, high))
-                    # Where a text begins or ends within the range, that is part of the name.
-                    clip = (place - low) << 8 | (place - high)
-                    names.append(narrow(text[place - near : place - far + LENGTH], near)[:_NARROW])
-                    names.append(decide(text[low : high + LENGTH], clip)[:_DECIDE])
-        table = Names(_table(names, _NARROW + _DECIDE))
-
-        def resolve(flags):
-            sure: dict[int, list] = {}
-            ask: dict[int, list] = {}
-            for (i, low, high), (repeated, mixed, goes_on) in zip(spans, flags.tolist(), strict=True):
-                if repeated:
-                    sure.setdefault(i, []).append((low, high))
-                if mixed and goes_on:
-                    ask.setdefault(i, []).append((low, high))
-            return sure, ask
-
-        return table, resolve
-
-    def _strings(self, state):
+        near, far = (np.array(x) for x in zip(*_RANGES, strict=True))
+        self._copies, self._spans, names = state["copies"], [], []
+        for i, places in state["sampled"]:
+            text, last = texts[i], len(texts[i]) - LENGTH
+            place = places.astype(np.int64)[:, None]
+            low, high = np.maximum(place - far, 0), np.minimum(place - near, last)
+            some = low <= high
+            self._spans.append((i, low[some], high[some]))
+            shared = zip((place - near)[some].tolist(), (place - far + LENGTH)[some].tolist(), np.broadcast_to(near, some.shape)[some].tolist(), strict=True)
+            # Where a text begins or ends within the range, that is part of the name.
+            clip = ((place - low) << 8 | (place - high))[some]
+            covered = zip(low[some].tolist(), (high[some] + LENGTH).tolist(), clip.tolist(), strict=True)
+            names.append(
+                b"".join(
+                    [
+                        narrow(text[a:b], k)[:_NARROW] + decide(text[c:d], m)[:_DECIDE]
+                        for (a, b, k), (c, d, m) in zip(shared, covered, strict=True)
+                    ]
+                )
+            )
+        self.names = Names(_table(names, _NARROW + _DECIDE))
+
+    def found(self, flags):
+        sure, ask, at = {}, {}, 0
+        for i, low, high in self._spans:
+            own = flags[at : at + len(low)]
+            at += len(low)
+            for kind, chosen in ((sure, own[:, 0]), (ask, own[:, 1] & own[:, 2])):
+                if chosen.any():
+                    kind[i] = runs(low[chosen], high[chosen])
+        return {"copies": self._copies, "sure": sure, "ask": ask}
+
+
+class Strings(Step):
+    """Where repeated strings begin, per text."""
+
+    def __init__(self, texts, state):
         import xxhash
 
-        sure, ask = state
-        digest, places, names = xxhash.xxh3_128_digest, [], []
-        for i, spans in ask.items():
-            text = self._texts[i]
-            own = np.unique(np.concatenate([np.arange(low, high + 1) for low, high in spans]))
-            places.append((i, own))
-            names.extend(digest(text[p : p + LENGTH])[:_DECIDE] for p in own.tolist())
-        table = Names(_table(names, _DECIDE))
-
-        def resolve(flags):
-            found = {i: [np.arange(low, high + 1) for low, high in spans] for i, spans in sure.items()}
-            at = 0
-            for i, own in places:
-                found.setdefault(i, []).append(own[flags[at : at + len(own), 0]])
-                at += len(own)
-            for i, parts in found.items():
-                self.starts[i] = np.unique(np.concatenate(parts))
-
-        return table, resolve
-
-    def kept(self, i: int) -> tuple[list[bytes], int]:
-        """The parts of a text that stay, and the number of runs taken out."""
-        text = self._texts[i]
-        if i in self.copies:
-            return [], 1
-        starts = self.starts[i]
-        if not len(starts):
-            return [text], 0
-        breaks = np.flatnonzero(np.diff(starts) > LENGTH)
-        begins = starts[np.concatenate([[0], breaks + 1])].tolist()
-        ends = (starts[np.concatenate([breaks, [len(starts) - 1]])] + LENGTH).tolist()
-        return [text[a:b] for a, b in zip([0, *ends], [*begins, len(text)], strict=True)], len(begins)
+        digest = xxhash.xxh3_128_digest
+        self._state, self._places, names = state, [], []
+        for i, ranges in state["ask"].items():
+            text, places = texts[i], _spread(ranges)
+            self._places.append((i, places))
+            names.append(b"".join([digest(text[p : p + LENGTH])[:_DECIDE] for p in places.tolist()]))
+        self.names = Names(_table(names, _DECIDE))
+
+    def found(self, flags):
+        starts, at = dict(self._state["sure"]), 0
+        for i, places in self._places:
+            own = places[flags[at : at + len(places), 0]]
+            at += len(places)
+            if len(own):
+                both = np.concatenate([starts.get(i, np.zeros((0, 2), np.int64)), np.stack([own, own], axis=1)])
+                starts[i] = runs(both[:, 0], both[:, 1])
+        return {"copies": self._state["copies"], "starts": starts}
+
+
+def kept_parts(text: bytes, is_copy: bool, starts: np.ndarray | None) -> tuple[list[bytes], int]:
+    """The parts of a text that stay, and the number of runs taken out."""
+    if is_copy:
+        return [], 1
+    if starts is None:
+        return [text], 0
+    gone = runs(starts[:, 0], starts[:, 1] + LENGTH - 1)
+    begins, ends = gone[:, 0].tolist(), (gone[:, 1] + 1).tolist()
+    return [text[a:b] for a, b in zip([0, *ends], [*begins, len(text)], strict=True)], len(begins)
 
 
 # Per step: bytes of a name, and of them those of the wider kind it belongs to.
-_STEPS = ((_DECIDE, _DECIDE), (_NARROW, _NARROW), (_NARROW + _DECIDE, _NARROW), (_DECIDE, _DECIDE))
+_STEPS: tuple[tuple[type[Step], int, int], ...] = (
+    (Whole, _DECIDE, _DECIDE),
+    (Sampled, _NARROW, _NARROW),
+    (Ranges, _NARROW + _DECIDE, _NARROW),
+    (Strings, _DECIDE, _DECIDE),
+)
 
 
 def _binary(column: pa.ChunkedArray) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+def _row(values: list, kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names)
+
+
 def without_repeats(docs: DataFrame, keep_bytes: bool = False, bucket_names: int = BUCKET_NAMES) -> DataFrame:
     """``docs`` without its text, with :data:`ADDED`, and ``kept`` (binary) if ``keep_bytes``."""
     spark = docs.sparkSession
@@ -304,39 +327,44 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = False, bucket_names: int
     texts = spark.read.schema(docs.schema).parquet(folder)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + size * len(COVER) // PERIOD // bucket_names
-    files = staged(
-        texts.select(F.input_file_name().alias("path")).distinct().withColumn("src", F.xxhash64("path")), "files"
-    )
-    tasks = max(1, min(files.count(), 100_000))
+    files = texts.select(F.input_file_name().alias("path")).distinct()
+    nothing = F.lit(pickle.dumps({})).cast("binary")
+    state = staged(files.select("path", F.xxhash64("path").alias("src"), nothing.alias("state")), "files")
+    tasks = max(1, min(state.count(), 100_000))
 
-    def loaded(path: str, replies: list[list]) -> tuple[pa.Table, Texts]:
-        table = read_texts(path)
-        return table, Texts(_binary(table["text"]), replies, buckets)
+    def prepared(step: type[Step], row: dict) -> Step:
+        return step(_binary(read_file(row["path"], ["text"])["text"]), pickle.loads(row["state"]))
 
-    state = files
-    for step, (width, shared) in enumerate(_STEPS):
+    for step, width, shared in _STEPS:
 
         def send(batches: Iterator[pa.RecordBatch], step=step) -> Iterator[pa.RecordBatch]:
+            kinds = [pa.int64(), pa.int32(), pa.binary()]
             for batch in batches:
                 for row in batch.to_pylist():
-                    names = loaded(row["path"], [row[f"r{k}"] or [] for k in range(step)])[1].names(step)
+                    names = prepared(step, row).names
                     for bucket, part in names.slices(buckets):
-                        columns = [
-                            pa.array([row["src"]], pa.int64()),
-                            pa.array([bucket], pa.int32()),
-                            pa.array([names.unique[part].tobytes()], pa.binary()),
-                        ]
-                        yield pa.RecordBatch.from_arrays(columns, ["src", "bucket", "names"])
-
-        sent = state.repartition(tasks).mapInArrow(send, "src long, bucket int, names binary")
+                        sent = [row["src"], bucket, names.unique[part].tobytes()]
+                        yield _row(sent, kinds, ["src", "bucket", "names"])
+
+        def resolve(batches: Iterator[pa.RecordBatch], step=step) -> Iterator[pa.RecordBatch]:
+            kinds = [pa.string(), pa.int64(), pa.binary()]
+            for batch in batches:
+                for row in batch.to_pylist():
+                    own = prepared(step, row)
+                    found = own.found(own.names.flags(row["replies"] or [], buckets))
+                    yield _row([row["path"], row["src"], pickle.dumps(found)], kinds, ["path", "src", "state"])
+
         replies = (
-            sent.groupBy("bucket")
+            state.repartition(tasks)
+            .mapInArrow(send, "src long, bucket int, names binary")
+            .groupBy("bucket")
             .applyInArrow(_sorter(width, shared), "src long, bucket int, bits binary")
             .groupBy("src")
-            .agg(F.collect_list(F.struct("bucket", "bits")).alias(f"r{step}"))
+            .agg(F.collect_list(F.struct("bucket", "bits")).alias("replies"))
         )
-        # Bits only, and one row per file.
-        state = staged(state.join(replies, "src", "left"), "replies")
+        # One row per file on either side; replies are bits, but there are many.
+        answered = state.join(replies.hint("merge"), "src", "left").repartition(tasks)
+        state = staged(answered.mapInArrow(resolve, "path string, src long, state binary"), "state")
 
     columns = [c for c in docs.columns if c != "text"]
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
@@ -345,12 +373,11 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = False, bucket_names: int
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                table, own = loaded(row["path"], [row[f"r{k}"] or [] for k in range(len(_STEPS))])
-                own.resolve()
-                bodies = _binary(table["text"])
+                found, table = pickle.loads(row["state"]), read_file(row["path"])
+                copies, bodies = set(found["copies"].tolist()), _binary(table["text"])
                 for at in range(0, len(bodies), 1000):
                     part = range(at, min(at + 1000, len(bodies)))
-                    left = [own.kept(i) for i in part]
+                    left = [kept_parts(bodies[i], i in copies, found["starts"].get(i)) for i in part]
                     whole = [len(bodies[i]) for i in part]
                     rest = [b"".join(pieces) for pieces, _ in left]
                     added = [
@@ -360,10 +387,8 @@ def without_repeats(docs: DataFrame, keep_bytes: bool = False, bucket_names: int
                         pa.array([hashlib.sha256(r).hexdigest() for r in rest]),
                         *([pa.array(rest, pa.binary())] if keep_bytes else []),
                     ]
-                    for group in table.select(columns).slice(at, len(part)).combine_chunks().to_batches() or [None]:
-                        others = [] if group is None else group.columns
-                        yield pa.RecordBatch.from_arrays(
-                            [*others, *added], [*columns, *ADDED, *(["kept"] if keep_bytes else [])]
-                        )
+                    names = [*columns, *ADDED, *(["kept"] if keep_bytes else [])]
+                    others = [table[c].slice(at, len(part)).combine_chunks() for c in columns]
+                    yield pa.RecordBatch.from_arrays([*others, *added], names)
 
     return state.repartition(tasks).mapInArrow(cut, ", ".join(kinds))
