@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from studiolens.llm.shared import ascii_lower, staged
+from studiolens.llm.shared import ascii_lower, columns_of, staged
 
 # Kinds in the order of lists of spans.
 KINDS = ("email", "ip", "card", "phone")
@@ -132,8 +132,30 @@ def disclosing(found: DataFrame, docs: DataFrame, share: float, support: int) ->
         .select("h", "entity", F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"))
         .distinct()
     )
+    texts = docs.select(F.xxhash64("text").alias("h")).distinct().count()
+    entities = (
+        found.select("h", F.explode("spans.value").alias("entity"))
+        .distinct()
+        .groupBy("entity")
+        .agg((F.count(F.lit(1)) / max(texts, 1)).alias("p"))
+    )
+
+    def revealed(holding: str) -> Column:
+        """The share of the entity's information content, if so many texts hold the term."""
+        return F.log2(F.col("both") / F.col(holding) / F.col("p")) / -F.log2("p")
+
+    # Texts with the term near any entity are a part of those that hold it: terms that would not
+    # disclose even if these were all, as common words, need no count over the corpus. An
+    # entity in every text has no information content to reveal.
+    near_any = near.groupBy("term").agg(F.countDistinct("h").alias("near_any"))
     together = staged(
-        near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= support), "together"
+        near.groupBy("entity", "term")
+        .agg(F.count(F.lit(1)).alias("both"))
+        .where(F.col("both") >= support)
+        .join(near_any, "term")
+        .join(entities, "entity")
+        .where((F.col("p") < 1) & (revealed("near_any") >= share)),
+        "together",
     )
     terms = staged(together.select("term").distinct(), "terms")
     words = docs.select(F.xxhash64("text").alias("h"), F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
@@ -143,37 +165,21 @@ def disclosing(found: DataFrame, docs: DataFrame, share: float, support: int) ->
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("with_term"))
     )
-    entities = (
-        found.select("h", F.explode("spans.value").alias("entity"))
-        .distinct()
-        .groupBy("entity")
-        .agg(F.count(F.lit(1)).alias("with_entity"))
-    )
-    texts = docs.select(F.xxhash64("text").alias("h")).distinct().count()
-    p_entity = F.col("with_entity") / F.lit(max(texts, 1))
-    revealed = F.log2(F.col("both") / F.col("with_term") / p_entity) / -F.log2(p_entity)
-    # An entity in every text has no information content to reveal.
-    return (
-        together.join(holding, "term")
-        .join(entities, "entity")
-        .where((F.col("with_entity") < texts) & (revealed >= share))
-        .select("term")
-        .distinct()
-    )
+    return together.join(holding, "term").where(revealed("with_term") >= share).select("term").distinct()
 
 
 def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``key_`` and ``places``: where ``terms`` stand in the documents that hold them."""
+    """``__key_`` and ``__places``: where ``terms`` stand in the documents that hold them."""
     key = F.struct("doc_id", F.xxhash64("text").alias("h"))
-    words = docs.select(key.alias("key_"), F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
+    words = docs.select(key.alias("__key_"), F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
     pairs = staged(words.join(terms, "term").distinct(), "holders")
     pattern = F.concat(F.lit(f"(?<![{_LETTER}])(?i:"), "term", F.lit(f")(?![{_LETTER}])"))
     texts = docs.select(key.alias("key"), "text")
     return (
-        texts.join(pairs, texts["key"] == pairs["key_"])
-        .select("key_", F.inline(located(F.col("text"), pattern)))
-        .groupBy("key_")
-        .agg(F.array_sort(F.collect_set(F.struct("at", "end"))).alias("places"))
+        texts.join(pairs, texts["key"] == pairs["__key_"])
+        .select("__key_", F.inline(located(F.col("text"), pattern)))
+        .groupBy("__key_")
+        .agg(F.array_sort(F.collect_set(F.struct("at", "end"))).alias("__places"))
     )
 
 
@@ -182,22 +188,22 @@ def with_spans(docs: DataFrame, share: float = DISCLOSURE, support: int = SUPPOR
     docs = docs.drop(*ADDED)
     text = F.coalesce("text", F.lit(""))
     found = staged(
-        docs.withColumns({"h": F.xxhash64("text"), "spans": base_spans(text)}).drop("text"), "spans"
+        docs.withColumns({"__h": F.xxhash64("text"), "spans": base_spans(text)}).drop("text"), "spans"
     )
-    some = found.where(F.size("spans") > 0)
+    some = found.where(F.size("spans") > 0).select(F.col("__h").alias("h"), "spans")
     terms = staged(disclosing(some, docs, share, support), "disclosing")
     places = term_places(docs, terms)
     outside = F.filter(
-        F.coalesce("places", F.array().cast("array<struct<at:int,end:int>>")),
+        F.coalesce("__places", F.array().cast("array<struct<at:int,end:int>>")),
         lambda p: ~F.exists("spans", lambda s: (p["at"] < s["end"]) & (s["at"] < p["end"])),
     )
-    key = F.struct("doc_id", "h")
+    key = F.struct("doc_id", F.col("__h").alias("h"))
     return (
         found.withColumn("__key", key)
-        .join(places, F.col("__key") == F.col("key_"), "left")
+        .join(places, F.col("__key") == F.col("__key_"), "left")
         .withColumn("term_spans", outside)
         .withColumn("spans", F.transform("spans", lambda s: s.dropFields("left", "right")))
-        .drop("__key", "key_", "places", "h")
+        .drop("__key", "__key_", "__places", "__h")
     )
 
 
@@ -210,7 +216,7 @@ def sanitised(docs: DataFrame, remove_terms: bool = False, **how) -> DataFrame:
 
     Where spans overlap, the first one stands for all.
     """
-    ids = docs.select("doc_id", "text", F.xxhash64("text").alias("__h"))
+    ids = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
     kind = F.lit("" if remove_terms else f"[{TERM}]")
     cuts = F.concat(
         F.transform("spans", lambda s: F.struct(s["at"].alias("at"), s["end"].alias("end"), F.concat(F.lit("["), s["kind"], F.lit("]")).alias("to"))),
@@ -218,7 +224,7 @@ def sanitised(docs: DataFrame, remove_terms: bool = False, **how) -> DataFrame:
     )
     spans = (
         with_spans(ids, **how)
-        .select(F.struct("doc_id", F.col("__h").alias("h")).alias("__key_"), F.array_sort(cuts).alias("__cuts"))
+        .select(F.struct("doc_id", F.col("hash").alias("h")).alias("__key_"), F.array_sort(cuts).alias("__cuts"))
         .where(F.size("__cuts") > 0)
         .dropDuplicates(["__key_"])
     )
@@ -235,5 +241,5 @@ def sanitised(docs: DataFrame, remove_terms: bool = False, **how) -> DataFrame:
         docs.withColumn("__key", F.struct("doc_id", F.xxhash64("text").alias("h")))
         .join(spans, F.col("__key") == F.col("__key_"), "left")
         .withColumn("text", F.coalesce(rest, F.col("text")))
-        .select(*docs.columns)
+        .select(*columns_of(docs))
     )
