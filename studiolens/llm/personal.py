@@ -3,8 +3,9 @@
 Base kinds are found by pattern. From there on the method is information-theoretic: the values found are
 the protected entities; a word near one is a term. Over all documents it is counted how many hold
 a term, and in how many it stands near an entity. Of the information content of the entity, -log2 P(e),
-a term reveals log2 (P(e|t) / P(e)). A term that reveals more than a share of it, in enough documents,
-discloses the entity; it becomes a span of kind ``term`` wherever it stands, and
+a term reveals log2 (P(e|t) / P(e)). P(e|t) is shrunk towards P(e) by a part of a document, so that few documents
+count for less than many, and an entity of a single document can still be disclosed. A term that reveals
+at least a share of the content discloses the entity; it becomes a span of kind ``term`` wherever it stands, and
 :func:`sanitised` generalises or removes it like the others. Copies of a text count once.
 
 Only built-in functions run here. Positions are counted in code points from the lengths of what lies
@@ -46,9 +47,10 @@ NEAR = 5
 _REACH = 200
 _LETTER = r"A-Za-z\x{80}-\x{10FFFF}"
 
-# The share of an entity's information content, and the documents, that make a term disclosing.
-DISCLOSURE = 0.95
-SUPPORT = 3
+# The share of an entity's information content that makes a term disclosing, and the documents
+# without evidence that are added to those that hold the term.
+DISCLOSURE = 0.9
+PRIOR = 0.25
 
 
 _FOUND = "array<struct<at:int,end:int,value:string,left:string>>"
@@ -119,13 +121,24 @@ def _terms(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(text), F.lit(f"[{_LETTER}]{{3,}}"), F.lit(0))
 
 
-def disclosing(found: DataFrame, docs: DataFrame, share: float, support: int) -> DataFrame:
+def _entity(span: Column) -> Column:
+    """What a span stands for, however it is written."""
+    digits = F.regexp_replace(span["value"], "[^0-9]", "")
+    plain = (
+        F.when(span["kind"] == "email", ascii_lower(span["value"]))
+        .when(span["kind"] == "ip", F.regexp_replace(span["value"], "(?<![0-9])0+(?=[0-9])", ""))
+        .otherwise(digits)
+    )
+    return F.concat_ws(":", span["kind"], plain)
+
+
+def disclosing(found: DataFrame, docs: DataFrame, share: float, prior: float) -> DataFrame:
     """Terms that disclose an entity; ``found`` has ``h`` (of the text) and its base ``spans``."""
     near = (
         found.select("h", F.explode("spans").alias("span"))
         .select(
             "h",
-            F.col("span.value").alias("entity"),
+            _entity(F.col("span")).alias("entity"),
             F.slice(F.reverse(_terms(F.col("span.left"))), 1, NEAR).alias("before"),
             F.slice(_terms(F.col("span.right")), 1, NEAR).alias("after"),
         )
@@ -134,7 +147,8 @@ def disclosing(found: DataFrame, docs: DataFrame, share: float, support: int) ->
     )
     texts = docs.select(F.xxhash64("text").alias("h")).distinct().count()
     entities = (
-        found.select("h", F.explode("spans.value").alias("entity"))
+        found.select("h", F.explode("spans").alias("span"))
+        .select("h", _entity(F.col("span")).alias("entity"))
         .distinct()
         .groupBy("entity")
         .agg((F.count(F.lit(1)) / max(texts, 1)).alias("p"))
@@ -142,7 +156,8 @@ def disclosing(found: DataFrame, docs: DataFrame, share: float, support: int) ->
 
     def revealed(holding: str) -> Column:
         """The share of the entity's information content, if so many texts hold the term."""
-        return F.log2(F.col("both") / F.col(holding) / F.col("p")) / -F.log2("p")
+        given = (F.col("both") + prior * F.col("p")) / (F.col(holding) + prior)
+        return F.log2(given / F.col("p")) / -F.log2("p")
 
     # Texts with the term near any entity are a part of those that hold it: terms that would not
     # disclose even if these were all, as common words, need no count over the corpus. An
@@ -151,17 +166,16 @@ def disclosing(found: DataFrame, docs: DataFrame, share: float, support: int) ->
     together = staged(
         near.groupBy("entity", "term")
         .agg(F.count(F.lit(1)).alias("both"))
-        .where(F.col("both") >= support)
         .join(near_any, "term")
         .join(entities, "entity")
         .where((F.col("p") < 1) & (revealed("near_any") >= share)),
         "together",
     )
-    terms = staged(together.select("term").distinct(), "terms")
-    words = docs.select(F.xxhash64("text").alias("h"), F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
+    # Many terms near some entity are common words: joined before counting they would give
+    # documents x terms rows, so all words are counted, in the first of each text's copies.
+    once = docs.select(F.xxhash64("text").alias("h"), "text").dropDuplicates(["h"])
     holding = (
-        words.join(terms, "term", "left_semi")
-        .distinct()
+        once.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("with_term"))
     )
@@ -183,7 +197,7 @@ def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
     )
 
 
-def with_spans(docs: DataFrame, share: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def with_spans(docs: DataFrame, share: float = DISCLOSURE, prior: float = PRIOR) -> DataFrame:
     """``docs`` without its text, with ``spans`` (base) and ``term_spans``."""
     docs = docs.drop(*ADDED)
     text = F.coalesce("text", F.lit(""))
@@ -191,7 +205,7 @@ def with_spans(docs: DataFrame, share: float = DISCLOSURE, support: int = SUPPOR
         docs.withColumns({"__h": F.xxhash64("text"), "spans": base_spans(text)}).drop("text"), "spans"
     )
     some = found.where(F.size("spans") > 0).select(F.col("__h").alias("h"), "spans")
-    terms = staged(disclosing(some, docs, share, support), "disclosing")
+    terms = staged(disclosing(some, docs, share, prior), "disclosing")
     places = term_places(docs, terms)
     outside = F.filter(
         F.coalesce("__places", F.array().cast("array<struct<at:int,end:int>>")),

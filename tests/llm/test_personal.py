@@ -84,6 +84,18 @@ def test_terms_that_disclose(documents):
     assert all(r.term_spans == [] for r in few)
 
 
+def test_rare_entities_with_production_parameters(documents):
+    """An entity of one text, one written in two ways, and the planted name of the test above."""
+    texts = ["then Quillfeather, at quill@site.org, wrote a note", "then call Ombrelwitz: +1 (415) 555-2671 on a day", "then ombrelwitz has +1-415-555-2671 on a day"]
+    texts += [f"number {i}: Zebrafan writes from jane@site.org on day {i}" for i in range(6)] + ["only zebrafan, no address"]
+    texts += [f"number {i}: then on day {i} a person who wrote a note has to call and writes from afar" for i in range(60)]
+    texts += [texts[0]] * 5  # copies count once
+    rows = personal.with_spans(documents(*texts)).orderBy("doc_id").collect()
+    found = [[texts[r.doc_id][s.at : s.end] for s in r.term_spans] for r in rows]
+    want = [["Quillfeather"], ["Ombrelwitz"], ["ombrelwitz"], *[["Zebrafan"]] * 6, ["zebrafan"], *[[]] * 60, *[["Quillfeather"]] * 5]
+    assert found == want
+
+
 def test_empty_table(documents):
     none = documents("x").limit(0)
     assert personal.with_spans(none).count() == 0
