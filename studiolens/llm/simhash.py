@@ -37,29 +37,40 @@ ADDED = ("fingerprint", "component_id")
 # Fingerprints of a bucket that one task compares.
 PART = 2048
 
-# Shingles whose bits are counted at once.
+# Shingles that are hashed and counted at once.
 _AT_ONCE = 65_536
 
 
+def _word_edges(data: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words of ``data`` joined by single blanks, and where each begins and ends.
+
+    Holds arrays, not an object per word, so a text of any length takes a small multiple of its size.
+    """
+    codes = np.frombuffer(data.lower(), np.uint8)  # lower() of bytes: A-Z
+    space = (codes == 32) | ((codes >= 9) & (codes <= 13))
+    first = ~space & np.concatenate([[True], space[:-1]])
+    keep = ~space
+    keep[np.flatnonzero(first)[1:] - 1] = True  # one blank before each word but the first
+    joined = np.where(space, np.uint8(32), codes)[keep]
+    blanks = np.flatnonzero(joined == 32)
+    return joined.tobytes(), np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(joined)]])
+
+
 def fingerprint(data: bytes, words: int = WORDS, seed: int = SEED) -> bytes:
     """Eight bytes: a bit is set if it is in over half the hashes of the text's shingles."""
     import xxhash
 
-    found = data.lower().split()  # of bytes: A-Z, and the white space of this subpackage
-    if not found:
+    if not data or data.isspace():
         return bytes(8)
-    joined = b" ".join(found)
-    blanks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
-    begins = [0, *(blanks + 1).tolist()]
-    ends = [*blanks.tolist(), len(joined)]
-    width = min(words, len(found))
-    spans = list(zip(begins[: len(found) - width + 1], ends[width - 1 :], strict=True))
+    joined, begins, ends = _word_edges(data)
+    width = min(words, len(begins))
+    begins, ends = begins[: len(begins) - width + 1], ends[width - 1 :]
     digest, ones = xxhash.xxh64_digest, np.zeros(64, np.int64)
-    for i in range(0, len(spans), _AT_ONCE):
-        hashes = b"".join([digest(joined[a:b], seed) for a, b in spans[i : i + _AT_ONCE]])
-        table = np.frombuffer(hashes, np.uint8).reshape(-1, 8)
+    for i in range(0, len(begins), _AT_ONCE):
+        spans = zip(begins[i : i + _AT_ONCE].tolist(), ends[i : i + _AT_ONCE].tolist(), strict=True)
+        table = np.frombuffer(b"".join([digest(joined[a:b], seed) for a, b in spans]), np.uint8).reshape(-1, 8)
         ones += np.unpackbits(table, axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(ones * 2 > len(spans)).tobytes()
+    return np.packbits(ones * 2 > len(begins)).tobytes()
 
 
 def fingerprints(text: Column, words: int = WORDS, seed: int = SEED) -> Column:

@@ -97,3 +97,21 @@ def test_empty_table(documents):
 def test_one_stays_without_ids(documents):
     docs = documents((None, "a b c d e f"), (None, "A b c d e f"), (None, "something else altogether, really"))
     assert simhash.deduplicated(docs).count() == 2
+
+
+def test_long_text_in_little_memory():
+    """A text of 8 MB: words are places in it, not objects."""
+    import tracemalloc
+
+    text = " ".join(f"w{i % 9973} \t\n" for i in range(1_000_000)).encode()
+    tracemalloc.start()
+    own = simhash.fingerprint(text, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    words = text.split()[:50_000]
+    short = b"\n".join(words) + b" "
+    assert own != bytes(8)
+    assert peak < 12 * len(text)
+    assert int.from_bytes(simhash.fingerprint(short, 4)) == plain_print(short.decode(), 4)
+    for text in ("", " \n", "a", " A b\x0bC ", "\x1c\x1d x", "é \x85 É"):
+        assert int.from_bytes(simhash.fingerprint(text.encode(), 4)) == plain_print(text, 4)
