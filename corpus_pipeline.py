@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studiolens.llm import decontaminate, language, mixing, near_copies, token_store
+from studiolens.llm import decontaminate, language, mixing, simhash, token_store
 from studiolens.llm.shared import read, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,8 +24,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group alike to 0.8 or more in five-word shingles, the one with the smallest doc_id."""
-    return near_copies.deduplicated(docs)
+    """One document of each group whose fingerprints of four-word shingles link at four bits, the smallest doc_id."""
+    return simhash.deduplicated(docs, words=4, bits=4)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
