@@ -57,7 +57,7 @@ def check_language(before, after):
 
 def check_copies(before, after):
     rows = sorted(set(before))
-    first = plain_components([plain_print(r[1], 5) for r in rows], 4)
+    first = plain_components([plain_print(r[1], 4) for r in rows], 4)
     assert sorted(after) == [rows[i] for i in sorted(set(first))]
     assert not {r[0] for r in after} & set(range(100, 108))
 
