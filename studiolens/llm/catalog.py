@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studiolens.llm import (
@@ -14,6 +14,7 @@ from studiolens.llm import (
     near_vectors,
     personal,
     repeats,
+    secret_scan,
     simhash,
     token_counts,
     token_store,
@@ -101,6 +102,21 @@ def op10_simhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_components(docs, words=4).select("doc_id", "fingerprint", "component_id")
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.with_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    own = [rule.kind for rule in secret_scan.BASE]
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in own]
+    base = F.filter("spans", lambda s: s["kind"].isin(own))
+
+    def listed(spans: Column | str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["at"], s["end"])), ",")
+
+    return found.select(
+        "doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed("spans").alias("spans")
+    )
+
+
 QUERIES: tuple[Query, ...] = (
     op1_language,
     op2_token_store,
@@ -112,6 +128,7 @@ QUERIES: tuple[Query, ...] = (
     op8_url_filter,
     op9_token_counts,
     op10_simhash_near_copies,
+    op12_secret_scan,
 )
 
 

@@ -10,6 +10,7 @@ from studiolens.llm import (
     near_vectors,
     personal,
     repeats,
+    secret_scan,
     simhash,
     token_counts,
     token_store,
@@ -51,6 +52,8 @@ OPERATORS = {
     "counts": lambda d, b: token_counts.with_token_counts(d),
     "components": lambda d, b: simhash.with_components(d),
     "deduplicated": lambda d, b: simhash.deduplicated(d),
+    "secrets": lambda d, b: secret_scan.with_secrets(d),
+    "redacted": lambda d, b: secret_scan.redacted(d),
 }
 
 

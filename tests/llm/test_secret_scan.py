@@ -1,0 +1,140 @@
+"""Secrets against the regexes of the standard library, on whole tables and on nasty texts."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from studiolens.llm import automaton, catalog, secret_scan
+from studiolens.llm.secret_scan import BASE, MORE, RULES, Rule, Scanner, tables
+
+PLAIN = {
+    "assign": (
+        r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        2,
+        6,
+    ),
+    "access": ("AKIA[A-Z0-9]+", 0, 20),
+    "hex": ("[0-9a-f]+", 0, 24),
+    "github": ("gh[pousr]_([A-Za-z0-9]+)", 1, 36),
+    "slack": ("xox[abprs]-([A-Za-z0-9-]+)", 1, 10),
+    "google": ("AIza([A-Za-z0-9_-]+)", 1, 35),
+    "private_key": ("-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+}
+
+
+def plain(text, kinds):
+    """(start, place of the kind, end) in code points."""
+    found = []
+    for k, kind in enumerate(kinds):
+        pattern, group, least = PLAIN[kind]
+        found += [(m.start(), k, m.end()) for m in re.finditer(pattern, text or "") if len(m[group]) >= least]
+    return sorted(found)
+
+
+def listed(spans, kinds):
+    return ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in spans)
+
+
+def test_whole_table(spark):
+    kinds = list(PLAIN)
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    got = {r.doc_id: r for r in catalog.op12_secret_scan(spark, "/root/testdata/sf0.01").collect()}
+    assert len(got) == len(rows)
+    hits = 0
+    for row in rows:
+        want = plain(row.text, kinds)
+        own, base = got[row.doc_id], [s for s in want if s[1] < 3]
+        assert own.spans == listed(want, kinds)
+        assert own.base_sha256 == hashlib.sha256(listed(base, kinds).encode()).hexdigest()
+        assert [own.n_assign, own.n_access, own.n_hex] == [sum(k == i for _, k, _ in base) for i in range(3)]
+        hits += len(want)
+    assert hits
+
+
+PIECES = (
+    "password passwd secret token api_key apikey pass TOKEN sec ret to ken = : ' \" a1b2c3 AKIA ABCD1234EFGH 0123456789ab xyz é 😀"
+    " ZZZZZZZZ - / == . k _key api ghp_ xoxb- AIza -----BEGIN PRIVATE KEY----- RSA ſecret toKen"
+).split() + [" ", "  ", "\n", "f" * 13, "x" * 30]
+
+
+@pytest.mark.parametrize("size", [3, 64, 1000, 1 << 20])
+@pytest.mark.parametrize("lanes", [1, 5, 4096])
+def test_random_texts(size, lanes):
+    draw = random.Random(size * 10_000 + lanes)
+    scan, kinds = Scanner(RULES, tables(RULES), size, lanes), [r.kind for r in RULES]
+    for _ in range(40):
+        texts = ["".join(draw.choice(PIECES) for _ in range(draw.randrange(0, 60))) for _ in range(30)]
+        found = dict(scan.matches([t.encode() for t in texts]))
+        for i, text in enumerate(texts):
+            data = text.encode()
+            spans = found.get(i, [])
+            at = secret_scan.code_points(data, [s for s, _, _ in spans])
+            to = secret_scan.code_points(data, [e for _, _, e in spans])
+            assert [(a, k, b) for a, (_, k, _), b in zip(at, spans, to, strict=True)] == plain(text, kinds)
+
+
+def test_failing_match_is_not_searched_again():
+    scan = Scanner(BASE, tables(BASE))
+    assert dict(scan.matches([b"secret=token :abcdefgh"])) == {}
+    assert dict(scan.matches([b"secret=toke token :abcdefgh"])) == {0: [(12, 0, 27)]}
+
+
+@pytest.mark.parametrize(
+    "pattern",
+    ["a", "ab|cd", "a(bc)*d", "[^a-c]x?", "a{2,3}b", "(a|ab)(c|bcd)", "x+y*z?", "(?i:ab)c", r"\d+\.\w", "a{2}|a{3,}b", "[]x-]+", r"[\x61-\x63]."],
+)
+def test_longest_match_of_patterns(pattern):
+    """From every place, against full matches of the standard library; backwards, too."""
+    draw = random.Random(pattern)
+    forwards = automaton.longest(automaton.compiled([automaton.parse(pattern)], True))
+    node = automaton.reversed_node(automaton.parse(pattern))
+    backwards = automaton.longest_back(automaton.compiled([node], True))
+    # The scoped flag would fold letters beyond ASCII; texts here hold none.
+    whole = re.compile(pattern.replace(r"\d", "[0-9]").replace(r"\w", "[A-Za-z0-9_]")).fullmatch
+    for _ in range(60):
+        text = "".join(draw.choice("abcdABxyz]-.12") for _ in range(12))
+        data, n = text.encode(), len(text)
+        for i in range(n):
+            assert forwards(data, i, n) == max([j for j in range(i + 1, n + 1) if whole(text[i:j])], default=-1)
+            assert backwards(data, 0, i + 1) == min([j for j in range(i + 1) if whole(text[j : i + 1])], default=-1)
+
+
+def test_minimal():
+    """Both halves of the choice end alike, so they share their states."""
+    one = automaton.compiled([automaton.parse("(ab|cb)d")], True)
+    assert one.step.shape == (5, 4 + 2)
+    assert one.dead > 0
+
+
+@pytest.mark.parametrize("pattern", ["", "a*", "(a", "a)", "*a", "[a", "é", r"\q", "(?=a)"])
+def test_refused_patterns(pattern):
+    with pytest.raises(ValueError):
+        automaton.compiled([automaton.parse(pattern)], True)
+
+
+def test_defined_cases(spark, documents):
+    key = "AKIA" + "B" * 16
+    docs = documents((1, None), (2, ""), (None, f"é {key}"), (3, key), (3, key), (4, "x" * 9_000_000 + f" {key}"))
+    rows = secret_scan.with_secrets(docs).select("doc_id", "spans").collect()
+    got = sorted((r.doc_id or 0, [tuple(s) for s in r.spans]) for r in rows)
+    own = [("access", 0, 20)]
+    assert got == [(0, [("access", 2, 22)]), (1, []), (2, []), (3, own), (3, own), (4, [("access", 9_000_001, 9_000_021)])]
+    assert secret_scan.with_secrets(docs.limit(0)).count() == 0
+
+
+def test_redacted(documents):
+    key = "AKIA" + "B" * 16
+    docs = documents((1, None), (2, f"é {key}, token = '{'ab' * 12}'."), (3, "clean"))
+    rows = secret_scan.redacted(docs.withColumn("spans_", F.lit(1))).collect()
+    assert {r.doc_id: r.text for r in rows} == {1: None, 2: "é <access>, <assign>'.", 3: "clean"}
+
+
+def test_own_rules(documents):
+    docs = documents((1, "id-12 id-1234 ID-12345"))
+    rules = (Rule("id", "(?i:id)-[0-9]+", 4),)
+    (row,) = secret_scan.with_secrets(docs, rules).collect()
+    assert [tuple(s) for s in row.spans] == [("id", 6, 13), ("id", 14, 22)]
+    assert {r.kind for r in MORE}.isdisjoint(r.kind for r in BASE)
