@@ -13,6 +13,7 @@ from studiolens.llm import (
     mixing,
     near_vectors,
     personal,
+    repair,
     repeats,
     secret_scan,
     simhash,
@@ -20,7 +21,7 @@ from studiolens.llm import (
     token_store,
     url_filter,
 )
-from studiolens.llm.shared import read
+from studiolens.llm.shared import read, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,6 +118,27 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    rows = repair.damaged(conversations)
+    report = staged(repair.report(rows), "report")
+    shas = repair.digests(repair.repaired(rows, report)).select(F.col("conv_id").alias("s"), "sha256")
+    found = report.withColumnRenamed("conv_id", "r")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return (
+        conversations.select("conv_id")
+        .distinct()
+        .join(found, F.col("conv_id").eqNullSafe(F.col("r")), "left")
+        .join(shas, F.col("conv_id").eqNullSafe(F.col("s")), "left")
+        .select(
+            "conv_id",
+            *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 QUERIES: tuple[Query, ...] = (
     op1_language,
     op2_token_store,
@@ -129,6 +151,7 @@ QUERIES: tuple[Query, ...] = (
     op9_token_counts,
     op10_simhash_near_copies,
     op12_secret_scan,
+    op13_conversation_repair,
 )
 
 
