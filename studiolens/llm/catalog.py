@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studiolens.llm import (
+    collocations,
     decontaminate,
     language,
     mixing,
@@ -103,6 +104,10 @@ def op10_simhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_components(docs, words=4).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.with_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
     own = [rule.kind for rule in secret_scan.BASE]
@@ -150,6 +155,7 @@ QUERIES: tuple[Query, ...] = (
     op8_url_filter,
     op9_token_counts,
     op10_simhash_near_copies,
+    op11_collocations,
     op12_secret_scan,
     op13_conversation_repair,
 )
@@ -252,6 +258,47 @@ SELECT n.page_id, coalesce(n.host, '') AS host, coalesce(n.path, '') AS path, j.
 FROM named n LEFT JOIN judged j ON n.url = j.url
 """
 
+_OP11 = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM lists GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM lists, (VALUES (1), (2), (3), (4)) AS t(k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 30
+),
+candidates AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM grams WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, j, l.f AS l, r.f AS r, (2000000::HUGEINT * c.f // (l.f::HUGEINT + r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS j FROM candidates) c
+  JOIN grams l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN grams r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:], ' ')
+),
+lowest AS (
+  SELECT lang, phrase, a, arg_min(struct_pack(l := l, r := r, score := score), score * 10 + j) AS cut FROM cuts GROUP BY lang, phrase, a
+),
+inner_phrases AS (
+  SELECT lang, f, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(generate_series(1, k - m + 1)) AS i FROM (SELECT *, unnest(generate_series(2, k - 1)) AS m FROM candidates WHERE k > 2))
+),
+covered AS (SELECT lang, phrase, max(f) AS over FROM inner_phrases GROUP BY lang, phrase),
+ranked AS (
+  SELECT l.*, row_number() OVER (PARTITION BY l.lang ORDER BY cut.score DESC, a DESC, encode(l.phrase)) AS rank
+  FROM lowest l LEFT JOIN covered c ON c.lang = l.lang AND c.phrase = l.phrase
+  WHERE NOT coalesce(100::HUGEINT * over >= 80::HUGEINT * a, false)
+)
+SELECT lang, rank, phrase, a, cut.l AS l, cut.r AS r, n, cut.score AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": _OP4, "op7_mix_sources": _OP7, "op8_url_filter": _OP8}
+    return {
+        "op4_decontaminate": _OP4,
+        "op7_mix_sources": _OP7,
+        "op8_url_filter": _OP8,
+        "op11_collocations": _OP11,
+    }
