@@ -38,7 +38,7 @@ DENSE = TILE * TILE // 16
 _TILES = 64
 
 # Words that a task holds before it closes the block of the language with most of them.
-HELD = 4_000_000
+HELD = 1_500_000
 
 # Parts in which the best phrases of a language are first chosen.
 _PARTS = 64
@@ -87,7 +87,7 @@ def _packed(symbols: np.ndarray) -> bytes:
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<i{data[:1].decode()}", offset=1).astype(np.int64)
+    return np.frombuffer(data, f"<i{data[:1].decode()}", offset=1)
 
 
 def pair_counts(symbols: np.ndarray, tile: int = TILE, dense: int = DENSE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -97,7 +97,8 @@ def pair_counts(symbols: np.ndarray, tile: int = TILE, dense: int = DENSE) -> tu
     x, y = x[both], y[both]
     rows, columns, counts = [], [], []
     near = (x < _TILES * tile) & (y < _TILES * tile)
-    place = np.where(near, x // tile * _TILES + y // tile, _TILES * _TILES)
+    place = np.full(len(x), _TILES * _TILES, np.int32)
+    place[near] = x[near] // tile * _TILES + y[near] // tile
     sizes = np.bincount(place, minlength=_TILES * _TILES)[: _TILES * _TILES]
     sparse = np.ones(len(x), bool)
     for own in np.flatnonzero(sizes >= dense).tolist():
@@ -108,10 +109,14 @@ def pair_counts(symbols: np.ndarray, tile: int = TILE, dense: int = DENSE) -> tu
         rows.append(own // _TILES * tile + cells // tile)
         columns.append(own % _TILES * tile + cells % tile)
         counts.append(table[cells])
-    x, y = x[sparse], y[sparse]
+    x, y = x[sparse].astype(np.int64), y[sparse].astype(np.int64)
+    del place, near, both
     width = int(y.max(initial=0)) + 1
     if int(x.max(initial=0)) < (1 << 62) // width:
-        codes = np.sort(x * width + y)
+        x *= width
+        x += y
+        x.sort()
+        codes = x
         first = np.flatnonzero(np.diff(codes, prepend=-1))
         x, y = np.divmod(codes[first], width)
     else:
