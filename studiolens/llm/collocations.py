@@ -3,14 +3,14 @@
 Words get ids in the order of their frequency, so pairs of frequent words lie in few square
 tiles of the table of all pairs. A task counts the neighbours in a block of text: a tile that many of them hit by
 a dense bincount, all others as sorted coordinates (row, column, count). Blocks are added up by a
-grouped sum. Pairs that occur often enough are ranked by frequency anew and take the place of
+sum per pair. Pairs that occur often enough are ranked by frequency anew and take the place of
 words: neighbouring pairs overlap by a word and are phrases of three, neighbouring phrases of three are
 phrases of four, each counted by the same function.
 
-A block holds texts of one language, its words as numbers. What a block has counted is looked up
-in the table of frequent words or pairs by a join, and comes back to the block as the ids of the next
-round, so no task ever holds the vocabulary. The most frequent pair has one row per block in the
-grouped sum, a hot language is many blocks, and the best phrases of a language are first chosen in parts.
+A block holds texts of one language, its words as numbers. What a block has counted meets the counts of all
+others in one shuffle, and comes back to the block as the ids of the next
+round, so no task ever holds the vocabulary. The most frequent pair has one row per block
+there, a hot language is many blocks, and the best phrases of a language are first chosen in parts.
 
 Defined cases: a null text holds no words; a null language counts as ``und``; repeated rows count each time; ties are
 ordered by the phrase; an empty table gives no rows; a language without frequent phrases has none. Other columns are left out.
@@ -91,9 +91,14 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def pair_counts(symbols: np.ndarray, tile: int = TILE, dense: int = DENSE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different pairs of neighbours (row, column) and how often each occurs."""
-    x, y = symbols[:-1], symbols[1:]
-    both = (x >= 0) & (y >= 0)
+    """Different pairs of neighbours (row, column) and how often each occurs.
+
+    Tiles are of the ids that the block holds, in their order, which is that of frequency.
+    """
+    known = np.unique(symbols)
+    own = np.searchsorted(known, symbols).astype(np.int32)
+    x, y = own[:-1], own[1:]
+    both = (symbols[:-1] >= 0) & (symbols[1:] >= 0)
     x, y = x[both], y[both]
     rows, columns, counts = [], [], []
     near = (x < _TILES * tile) & (y < _TILES * tile)
@@ -111,22 +116,14 @@ def pair_counts(symbols: np.ndarray, tile: int = TILE, dense: int = DENSE) -> tu
         counts.append(table[cells])
     x, y = x[sparse].astype(np.int64), y[sparse].astype(np.int64)
     del place, near, both
-    width = int(y.max(initial=0)) + 1
-    if int(x.max(initial=0)) < (1 << 62) // width:
-        x *= width
-        x += y
-        x.sort()
-        codes = x
-        first = np.flatnonzero(np.diff(codes, prepend=-1))
-        x, y = np.divmod(codes[first], width)
-    else:
-        order = np.lexsort((y, x))
-        x, y = x[order], y[order]
-        first = np.flatnonzero((np.diff(x, prepend=-1) != 0) | (np.diff(y, prepend=-1) != 0))
-        x, y = x[first], y[first]
+    x *= len(known)
+    x += y
+    x.sort()
+    first = np.flatnonzero(np.diff(x, prepend=-1))
+    x, y = np.divmod(x[first], max(1, len(known)))
     return (
-        np.concatenate([*rows, x]),
-        np.concatenate([*columns, y]),
+        known[np.concatenate([*rows, x])],
+        known[np.concatenate([*columns, y])],
         np.concatenate([*counts, np.diff(first, append=sparse.sum())]),
     )
 
@@ -207,25 +204,25 @@ def _pairs(sequences: DataFrame, tile: int, dense: int) -> DataFrame:
     return sequences.select("block", "symbols").mapInArrow(count, "block bigint, x bigint, y bigint, n bigint")
 
 
-def ranked(df: DataFrame, *order: Column | str) -> DataFrame:
-    """``df`` with ``id``, its place in ``order``, which must tell all rows apart.
+def _frequent(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """``rows`` of words or pairs that occur ``least`` times in all blocks, with that number
+    ``f`` and an ``id``.
 
-    Rows are range-partitioned and sorted; only the sizes of the partitions are added up in one task.
+    Keys are dealt into buckets. A bucket ranks its own by frequency, and ids go round the buckets,
+    so frequent ones have low ids and no task sees more than some buckets. One shuffle sums, ranks and
+    tells the blocks: nothing is joined.
     """
-    here = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = staged(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumns({"__part": F.spark_partition_id(), "__place": here}),
-        "ranked",
-    )
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    starts = sizes.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
-    return (
-        placed.join(starts, "__part")
-        .withColumn("id", F.col("__start") + F.col("__place"))
-        .drop("__part", "__place", "__start")
+    spread = 64 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(spread))
+    place = F.dense_rank().over(Window.partitionBy("bucket").orderBy(F.col("f").desc(), *keys))
+    return staged(
+        rows.withColumn("bucket", bucket)
+        .repartition("bucket")
+        .withColumn("f", F.sum("n").over(Window.partitionBy("bucket", *keys)))
+        .where(F.col("f") >= least)
+        .withColumn("id", (place - 1).cast("bigint") * spread + F.col("bucket"))
+        .drop("bucket", "n"),
+        "frequent",
     )
 
 
@@ -308,23 +305,22 @@ def collocations(
     """
     blocks = staged(_blocks(docs, held), "blocks")
     sequences = blocks.where("symbols IS NOT NULL")
-    words = blocks.where("word IS NOT NULL").select("block", "lang", "word", "local", "n")
-
-    frequent = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    word = staged(ranked(frequent, F.col("f").desc(), "lang", "word"), "words")
-    names = words.join(word, ["lang", "word"]).select(F.col("block").alias("block"), "local", "id")
+    words = blocks.where("word IS NOT NULL").select(F.col("block").alias("block"), "lang", "word", "local", "n")
+    names = _frequent(words, ["lang", "word"], least)
+    word = names.select("id", "lang", "word", "f").distinct()
     totals = sequences.groupBy("lang").agg(F.sum("n").alias("n"))
 
     tables = []
     for length in range(2, LONGEST + 1):
-        sequences = staged(_renamed(sequences, names), "sequences")
+        told = ("local", "id") if length == 2 else ("x", "y", "id")
+        sequences = staged(_renamed(sequences, names.select(F.col("block").alias("block"), *told)), "sequences")
         pairs = _pairs(sequences, tile, dense)
-        frequent = pairs.groupBy("x", "y").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-        table = staged(ranked(frequent, F.col("f").desc(), "x", "y"), "pairs")
-        tables.append(table)
         if length < LONGEST:
-            names = pairs.join(table, ["x", "y"]).select("block", "x", "y", "id")
-    return _best(word, tables, totals, top)
+            names = _frequent(pairs, ["x", "y"], least)
+            tables.append(names.select("id", "x", "y", "f").distinct())
+        else:
+            tables.append(pairs.groupBy("x", "y").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
+    return _best(word, [staged(table, "phrases") for table in tables], totals, top)
 
 
 def _best(word: DataFrame, tables: list[DataFrame], totals: DataFrame, top: int) -> DataFrame:
