@@ -206,7 +206,7 @@ def _pairs(sequences: DataFrame, tile: int, dense: int) -> DataFrame:
 
 def _frequent(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
     """``rows`` of words or pairs that occur ``least`` times in all blocks, with that number
-    ``f`` and an ``id``.
+    ``f`` and an ``id``; those of the same one are neighbours.
 
     Keys are dealt into buckets. A bucket ranks its own by frequency, and ids go round the buckets,
     so frequent ones have low ids and no task sees more than some buckets. One shuffle sums, ranks and
@@ -215,25 +215,80 @@ def _frequent(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
     spread = 64 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucket = F.pmod(F.xxhash64(*keys), F.lit(spread))
     place = F.dense_rank().over(Window.partitionBy("bucket").orderBy(F.col("f").desc(), *keys))
-    return staged(
-        rows.withColumn("bucket", bucket)
-        .repartition("bucket")
+    return (
+        rows.repartition(bucket)
+        .withColumn("bucket", bucket)
         .withColumn("f", F.sum("n").over(Window.partitionBy("bucket", *keys)))
         .where(F.col("f") >= least)
         .withColumn("id", (place - 1).cast("bigint") * spread + F.col("bucket"))
-        .drop("bucket", "n"),
-        "frequent",
+        .drop("bucket", "n")
     )
 
 
+def _told(pairs: DataFrame) -> DataFrame:
+    """Frequent pairs once each (id, x, y, f), and for each block its own ones in one value (block, data)."""
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(columns: dict[str, list | np.ndarray]) -> pa.RecordBatch:
+            size = len(next(iter(columns.values())))
+            fields = [("block", pa.int64()), ("data", pa.binary()), *[(c, pa.int64()) for c in ("id", "x", "y", "f")]]
+            own = [pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in fields]
+            return pa.RecordBatch.from_arrays(own, [c for c, _ in fields])
+
+        def flushed() -> pa.RecordBatch:
+            block, *values = [np.concatenate(c) for c in zip(*held, strict=True)]
+            held.clear()
+            order = np.lexsort((values[1], values[0], block))
+            block, values = block[order], [v[order] for v in values]
+            first = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
+            ends = [*first[1:].tolist(), len(block)]
+            data = [_squeezed([v[a:b] for v in values]) for a, b in zip(first.tolist(), ends, strict=True)]
+            return batch_of({"block": block[first], "data": data})
+
+        held: list[list[np.ndarray]] = []
+        last = -1
+        for batch in batches:
+            block, x, y, f, own = [c.to_numpy() for c in batch.columns]
+            new = np.diff(own, prepend=last) != 0
+            last = own[-1] if len(own) else last
+            yield batch_of({"id": own[new], "x": x[new], "y": y[new], "f": f[new]})
+            held.append([block, x, y, own])
+            if sum(len(h[0]) for h in held) >= HELD:
+                yield flushed()
+        if sum(len(h[0]) for h in held):
+            yield flushed()
+
+    fields = "block bigint, data binary, id bigint, x bigint, y bigint, f bigint"
+    return staged(pairs.select("block", "x", "y", "f", "id").mapInArrow(tell, fields), "told")
+
+
+def _squeezed(columns: list[np.ndarray]) -> bytes:
+    """Integers of equal length, compressed; the first column is sorted."""
+    first = np.diff(columns[0], prepend=0)
+    planes = np.array([first, *columns[1:]], "<i8").view(np.uint8).reshape(-1, 8).T
+    raw = np.ascontiguousarray(planes).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def _unsqueezed(data: bytes, columns: int) -> list[np.ndarray]:
+    raw = pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(8, -1).T
+    table = np.ascontiguousarray(planes).view("<i8").reshape(columns, -1)
+    return [np.cumsum(table[0]), *table[1:]]
+
+
 def _renamed(sequences: DataFrame, names: DataFrame) -> DataFrame:
     """The sequences of the next round, from what ``names`` tells each block: the id of a word
-    (``local``, ``id``) or of a pair of neighbours (``x``, ``y``, ``id``)."""
-    by_pair = "x" in names.columns
+    (``local``, ``id``), or those of its pairs (``data``)."""
+    by_pair = "data" in names.columns
 
     def rename(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         found = []
-        columns = [c.to_numpy() for c in right.drop_columns("block").columns]
+        if by_pair:
+            parts = [_unsqueezed(data, 3) for data in right.column("data").to_pylist()]
+            columns = [np.concatenate([np.zeros(0, np.int64), *[p[i] for p in parts]]) for i in range(3)]
+        else:
+            columns = [right.column(c).to_numpy() for c in ("local", "id")]
         for data in left.column("symbols").to_pylist():
             symbols = _unpacked(data)
             ids = columns[-1].astype(np.int64)
@@ -306,21 +361,23 @@ def collocations(
     blocks = staged(_blocks(docs, held), "blocks")
     sequences = blocks.where("symbols IS NOT NULL")
     words = blocks.where("word IS NOT NULL").select(F.col("block").alias("block"), "lang", "word", "local", "n")
-    names = _frequent(words, ["lang", "word"], least)
-    word = names.select("id", "lang", "word", "f").distinct()
+    known = staged(_frequent(words, ["lang", "word"], least), "frequent")
+    word = known.select("id", "lang", "word", "f").distinct()
+    names = known.select(F.col("block").alias("block"), "local", "id")
     totals = sequences.groupBy("lang").agg(F.sum("n").alias("n"))
 
     tables = []
     for length in range(2, LONGEST + 1):
-        told = ("local", "id") if length == 2 else ("x", "y", "id")
-        sequences = staged(_renamed(sequences, names.select(F.col("block").alias("block"), *told)), "sequences")
+        sequences = staged(_renamed(sequences, names), "sequences")
         pairs = _pairs(sequences, tile, dense)
         if length < LONGEST:
-            names = _frequent(pairs, ["x", "y"], least)
-            tables.append(names.select("id", "x", "y", "f").distinct())
+            told = _told(_frequent(pairs, ["x", "y"], least))
+            names = told.where("data IS NOT NULL").select("block", "data")
+            tables.append(told.where("data IS NULL").select("id", "x", "y", "f"))
         else:
-            tables.append(pairs.groupBy("x", "y").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
-    return _best(word, [staged(table, "phrases") for table in tables], totals, top)
+            counts = pairs.groupBy("x", "y").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+            tables.append(staged(counts, "phrases"))
+    return _best(word, tables, totals, top)
 
 
 def _best(word: DataFrame, tables: list[DataFrame], totals: DataFrame, top: int) -> DataFrame:
