@@ -738,7 +738,7 @@ def _ride_stream(spark, sf_dir):
 
     def start(events: DataFrame) -> StreamingQuery:
         attend = roles.attend_from(events)
-        return rides.stream_ride_number(attend, f"{home}/out", f"{home}/state", f"{home}/checkpoint")
+        return rides.stream_ride_number(attend, f"{home}/out", f"{home}/late", f"{home}/checkpoint")
 
     in_batches(spark, sf_dir, start)
     return spark.read.parquet(f"{home}/out").select("id", "custid", "num", "late")
@@ -762,7 +762,7 @@ def _outage_stream(spark, sf_dir):
 
     def start(events: DataFrame) -> StreamingQuery:
         return outages.stream_outage_alerts(
-            roles.probes_from(events), f"{home}/out", f"{home}/state", f"{home}/checkpoint"
+            roles.probes_from(events), f"{home}/out", f"{home}/late", f"{home}/checkpoint"
         )
 
     in_batches(spark, sf_dir, start)

@@ -2,52 +2,71 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
-from studiolens.operators import alerts
-from studiolens.streaming.files import run_batches
-from studiolens.streaming.snapshots import save_state, state_before
+from studiolens.streaming.keyed import MISSING, behind, micros, number, with_state, write_batches
 
+DELAY = "1 day"
 
-def stream_outage_alerts(
-    probes: DataFrame, out: str, state: str, checkpoint: str, every: str | None = None
-) -> StreamingQuery:
-    """Append alerts to ``out``; the run of failures per target goes on across batches.
 
-    Samples are taken in time order within a batch. One that lies before the last sample of its
-    target comes late: it is written with the reason ``late`` and changes no run.
+def alert_rows(rows: pd.DataFrame, state: GroupState) -> pd.DataFrame:
+    """The alerts of a target's samples of one batch, and its late samples.
+
+    A run of failures is the distance to the last success; one that goes on from an earlier
+    batch looks like a success that many samples ago.
+    """
+    known = state.exists
+    run, last_id, last = state.get if known else (0, MISSING, MISSING)
+    rows = rows.sort_values(["__at", "__id"], kind="stable")
+    at, own = rows["__at"], rows["__id"]
+    late = (at < last) | ((at == last) & (own < last_id)) if known else pd.Series(False, rows.index)
+    late |= behind(at, state)
+    fresh, behind_rows = rows[~late], rows[late].assign(downcount=pd.NA, reason="late")
+    if not len(fresh):
+        return behind_rows
+    down = fresh["__down"].to_numpy()
+    place = np.arange(1, len(down) + 1)
+    success = np.maximum.accumulate(np.concatenate([[-run], np.where(down == 0, place, -run)]))
+    failures = place - 1 - success[:-1]
+    count = np.where(down == 1, failures + 1, 0)
+    reason = np.select(
+        [(down == 1) & (count % 2 == 0), (down == 0) & (failures >= 2), (place == 1) & (not known)],
+        ["down", "recovered", "first"],
+        "",
+    )
+    state.update((int(count[-1]), int(fresh["__id"].iloc[-1]), int(fresh["__at"].iloc[-1])))
+    found = fresh.assign(downcount=pd.array(count, dtype="Int64"), reason=reason)
+    return pd.concat([found[reason != ""], behind_rows])
+
+
+def with_stream_alerts(probes: DataFrame, delay: str = DELAY) -> DataFrame:
+    """Alerts of arriving samples, and samples that are ``late``.
+
+    A sample that lies before the last one of its target in an earlier batch, or behind the
+    watermark, is late and changes no run.
     """
+    samples = probes.select("target", "ts", "event_id", "down")
+    work = {
+        "__at": micros("ts"),
+        "__id": number("event_id"),
+        "__down": F.coalesce(F.col("down").cast("int"), F.lit(-1)),
+    }
+    added = {"downcount": "bigint", "reason": "string"}
+    state = "downcount bigint, last_id bigint, last bigint"
+    return with_state(samples, ["target"], "ts", delay, work, added, state, alert_rows)
+
 
-    def each(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        before = state_before(spark, state, epoch)
-        fresh, late = batch, None
-        if before is not None:
-            last = before.select("target", F.struct("ts", "event_id").alias("__last"))
-            marked = batch.join(last, "target", "left").withColumn(
-                "__late", F.coalesce(F.struct("ts", "event_id") < F.col("__last"), F.lit(False))
-            )
-            fresh, late = marked.where(~F.col("__late")), marked.where("__late")
-        states = alerts.probe_states(fresh, before).persist()
-        found = states.where(F.col("alert")).drop("alert")
-        if late is not None:
-            nothing = F.lit(None).cast(found.schema["downcount"].dataType)
-            found = found.unionByName(
-                late.select(
-                    "target", "ts", "event_id", "down",
-                    nothing.alias("downcount"), F.lit("late").alias("reason"),
-                )
-            )
-        found.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-        after = alerts.last_state(states)
-        if before is not None:
-            after = after.unionByName(before.join(after, "target", "left_anti"))
-        save_state(after, state, epoch)
-        states.unpersist()
-
-    return run_batches(probes, each, checkpoint, every=every)
+def stream_outage_alerts(
+    probes: DataFrame, out: str, late_out: str, checkpoint: str, every: str | None = None, delay: str = DELAY
+) -> StreamingQuery:
+    """Append alerts and late samples to ``out``, and late samples to ``late_out``, too."""
+    found = with_stream_alerts(probes, delay)
+    return write_batches(found, F.col("reason") == "late", out, late_out, checkpoint, every)
 
 
 def alerts_of(written: DataFrame) -> DataFrame:

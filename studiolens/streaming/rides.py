@@ -2,55 +2,53 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
-from studiolens.operators import running
-from studiolens.streaming.files import run_batches
-from studiolens.streaming.snapshots import save_state, state_before
+from studiolens.operators.retention import ENROLLED
+from studiolens.streaming.keyed import MISSING, behind, micros, number, with_state, write_batches
 
+DELAY = "30 days"
 
-def number_batch(batch: DataFrame, counters: DataFrame | None) -> DataFrame:
-    """Number one batch on from the counters ``custid, num, last_class``.
 
-    A row whose class lies before the customer's last counted class comes late: it is
-    marked, keeps no number and is not counted. The batch form of the running number does
-    the work, so a customer with a large share of the batch is spread over tasks.
+def number_rows(rows: pd.DataFrame, state: GroupState) -> pd.DataFrame:
+    """Number a customer's rows of one batch on from the stored count.
+
+    A row whose class lies before the last counted one of an earlier batch, or behind the
+    watermark, is late: it keeps no number and is not counted.
     """
-    if counters is None:
-        marked = batch.withColumn("late", F.lit(False))
-    else:
-        last = counters.select("custid", F.col("last_class").alias("__last"))
-        late = F.coalesce(F.col("classdate") < F.col("__last"), F.lit(False))
-        marked = batch.join(last, "custid", "left").withColumn("late", late).drop("__last")
-    fresh = running.with_ride_number(marked.where(~F.col("late")), counters)
-    late = marked.where("late").withColumn("num", F.lit(None).cast("bigint"))
-    return fresh.unionByName(late)
-
-
-def counters_after(numbered: DataFrame, counters: DataFrame | None) -> DataFrame:
-    """Counters after a batch: the highest number and the last class per customer."""
-    seen = numbered.where(~F.col("late")).select(
-        "custid", "num", F.col("classdate").alias("last_class")
-    )
-    both = seen if counters is None else seen.unionByName(counters)
-    return both.groupBy("custid").agg(
-        F.max("num").alias("num"), F.max("last_class").alias("last_class")
+    num, last = state.get if state.exists else (0, MISSING)
+    rows = rows.sort_values(["__at", "__booked", "__id"], kind="stable")
+    late = ((rows["__at"] < last) & (rows["__at"] != MISSING)) | behind(rows["__at"], state)
+    counted = rows["__one"].where(~late, 0).cumsum() + num
+    state.update((int(counted.iloc[-1]), int(max(last, rows["__at"].where(~late, MISSING).max()))))
+    return rows.assign(num=counted.astype("Int64").where(~late), late=late)
+
+
+def with_stream_number(events: DataFrame, delay: str = DELAY) -> DataFrame:
+    """Arriving attendance with ``num`` and ``late``.
+
+    Counts are states per customer and are never dropped. A batch holds a customer's rows of that
+    batch in one task; the limit on files per batch bounds them.
+    """
+    work = {
+        "__at": micros("classdate"),
+        "__booked": micros("datein"),
+        "__id": number("id"),
+        "__one": F.when(F.col("status") == ENROLLED, 1).otherwise(0),
+    }
+    added = {"num": "bigint", "late": "boolean"}
+    rows = events.drop(*added)
+    return with_state(
+        rows, ["custid"], "classdate", delay, work, added, "num bigint, last bigint", number_rows
     )
 
 
 def stream_ride_number(
-    events: DataFrame, out: str, state: str, checkpoint: str, every: str | None = None
+    events: DataFrame, out: str, late_out: str, checkpoint: str, every: str | None = None, delay: str = DELAY
 ) -> StreamingQuery:
-    """Append numbered attendance to ``out``, one folder per batch."""
-
-    def each(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        counters = state_before(spark, state, epoch)
-        place = f"{out}/epoch={epoch}"
-        number_batch(batch, counters).write.mode("overwrite").parquet(place)
-        written = spark.read.parquet(place)
-        save_state(counters_after(written, counters), state, epoch)
-
-    return run_batches(events, each, checkpoint, every=every)
+    """Append numbered attendance to ``out``, one folder per batch, and late rows to ``late_out``, too."""
+    return write_batches(with_stream_number(events, delay), F.col("late"), out, late_out, checkpoint, every)

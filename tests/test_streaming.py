@@ -106,18 +106,56 @@ def test_latest_poll_wins_across_batches(spark, stream):
     assert [r[0] for r in values(got, "unavail")] == [4, 5, 6, 7]
 
 
-def test_a_repeated_batch_writes_the_same(spark):
-    one = attend(spark, [(1, 1, "Enrolled", "2024-01-05 06:00:00")])
-    two = attend(spark, [(2, 1, "Enrolled", "2024-01-06 06:00:00")])
-    state = work_dir(spark, "state")
-    from studiolens.streaming.snapshots import save_state, state_before
+def test_restarts_touch_only_their_keys(spark, tmp_path):
+    """Each batch is a run of its own; its state is that of the customers it holds."""
+    days = [f"2024-01-{d:02d} 06:00:00" for d in range(1, 9)]
+    parts = [
+        attend(spark, [(10 * i + c, c, "Enrolled", day) for c in range(1, 6) if i == 0 or c == i % 3 + 1])
+        for i, day in enumerate(days)
+    ]
+    home, touched = work_dir(spark, "rides"), []
+    for part in parts:
+        part.write.mode("append").parquet(f"{tmp_path}/in")
+        source = files.parquet_stream(spark, f"{tmp_path}/in", part.schema)
+        query = rides.stream_ride_number(source, f"{home}/out", f"{home}/late", f"{home}/check")
+        query.awaitTermination()
+        own = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"]]
+        touched.append(sum(p["numRowsUpdated"] for p in own))
+        assert own[-1]["numRowsTotal"] == 5
+    assert touched == [part.select("custid").distinct().count() for part in parts]
+    got = spark.read.parquet(f"{home}/out")
+    want = running.with_ride_number(reduce(DataFrame.unionByName, parts))
+    assert values(got, "id", "num") == values(want, "id", "num")
+
+
+def test_late_rows_have_an_output_of_their_own(spark, stream):
+    one = attend(spark, [(1, 1, "Enrolled", "2024-03-05 06:00:00"), (2, 2, "Cancelled", None)])
+    two = attend(spark, [(3, 1, "Enrolled", "2024-03-04 06:00:00"), (4, 9, "Enrolled", "2024-01-01 06:00:00"), (5, 2, "Enrolled", None)])
+    home = work_dir(spark, "rides")
+    rides.stream_ride_number(stream(one, two), f"{home}/out", f"{home}/late", f"{home}/check").awaitTermination()
+    # Row 4 is the first of its customer, but two months behind; rows without a time are never late.
+    assert values(spark.read.parquet(f"{home}/late"), "id", "num", "late") == [(3, None, True), (4, None, True)]
+    assert values(spark.read.parquet(f"{home}/out").where("NOT late"), "id", "num") == [(1, 1), (2, 0), (5, 1)]
+
 
-    save_state(rides.counters_after(rides.number_batch(one, None), None), state, 0)
-    for _ in range(2):
-        before = state_before(spark, state, 1)
-        done = rides.number_batch(two, before)
-        assert values(done, "id", "num") == [(2, 2)]
-        save_state(rides.counters_after(done, before), state, 1)
-    assert state_before(spark, state, 0) is None
+def test_columns_come_back_as_they_were(spark, stream):
+    """Long integers beside nulls, exact times and money survive the state function."""
+    df = attend(spark, [(2**60 + 1, 1, "Enrolled", "2024-01-05 06:00:00.123456"), (2**60 + 3, None, "Enrolled", "2024-01-06 06:00:00")])
+    got = _rides(spark, stream(df))
+    assert values(got, *df.columns) == values(df, *df.columns)
+    assert values(got, "id", "num") == [(2**60 + 1, 1), (2**60 + 3, 1)]
 
 
+def test_late_polls_are_marked_and_kept(spark, stream):
+    columns = "dt timestamp_ntz, site string, instr string, unavail int, total int, poll_ts timestamp_ntz"
+    row = lambda d, n, p: (ts(d), "a", None, n, 10, ts(p))
+    first, later = "2024-01-02 06:00:00", "2024-01-20 06:00:00"
+    parts = [
+        spark.createDataFrame([row(first, 1, "2024-01-01 10:00:00"), row(first, 2, "2024-01-01 10:00:00")], columns),
+        spark.createDataFrame([row(later, 3, "2024-01-19 10:00:00")], columns),
+        spark.createDataFrame([row(first, 4, "2024-01-01 10:05:00"), row(first, 5, "2024-01-01 09:00:00")], columns),
+    ]
+    home = work_dir(spark, "polls")
+    polls.keep_latest(stream(*parts), f"{home}/occ", f"{home}/check", late_out=f"{home}/late").awaitTermination()
+    assert values(tables.read_table(spark, f"{home}/occ"), "dt", "unavail") == [(ts(first), 4), (ts(later), 3)]
+    assert values(spark.read.parquet(f"{home}/late"), "unavail") == [(4,), (5,)]
