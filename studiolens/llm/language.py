@@ -78,23 +78,28 @@ class Profiler:
             if not len(grams):
                 continue
             seen = True
-            if len(self._rows) > _CACHED:
-                self._rows.clear()
             kinds, counts = np.unique(grams, return_counts=True)
-            rows = [self._row(g) for g in kinds.tolist()]
-            total += counts.astype(np.float32) @ self._table[rows]
+            # A text in a large script may hold more trigrams than are kept.
+            for i in range(0, len(kinds), _CACHED):
+                if len(self._rows) > _CACHED:
+                    self._rows.clear()
+                rows = [self._row(g) for g in kinds[i : i + _CACHED].tolist()]
+                total += counts[i : i + _CACHED].astype(np.float32) @ self._table[rows]
         return total if seen else None
 
 
+def _letter(code: int) -> int:
+    """The lower-case letter, or a blank."""
+    char = chr(code)
+    if not char.isalpha():
+        return _BLANK
+    low = char.lower()
+    return ord(low) if len(low) == 1 else code
+
+
 def _letters_table() -> np.ndarray:
-    """For each code of the basic plane, the lower-case letter, or a blank."""
-    codes = np.full(0x10000, _BLANK, np.int64)
-    for code in range(0x10000):
-        char = chr(code)
-        if char.isalpha():
-            low = char.lower()
-            codes[code] = ord(low) if len(low) == 1 else code
-    return codes
+    """The letters of the basic plane."""
+    return np.array([_letter(code) for code in range(0x10000)], np.int64)
 
 
 _LETTERS: list[np.ndarray] = []
@@ -105,7 +110,11 @@ def trigrams(text: str) -> np.ndarray:
     if not _LETTERS:
         _LETTERS.append(_letters_table())
     raw = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    codes = np.where(raw < 0x10000, _LETTERS[0][np.minimum(raw, 0xFFFF)], raw)
+    codes = _LETTERS[0][np.minimum(raw, 0xFFFF)]
+    far = raw > 0xFFFF
+    if far.any():
+        kinds, place = np.unique(raw[far], return_inverse=True)
+        codes[far] = np.array([_letter(code) for code in kinds.tolist()])[place]
     codes = np.concatenate([[_BLANK], codes, [_BLANK]])
     codes = codes[np.concatenate([[True], (codes[1:] != _BLANK) | (codes[:-1] != _BLANK)])]
     if len(codes) < 3:

@@ -65,3 +65,49 @@ def test_empty_tables(documents):
     assert language.with_language(none, none).count() == 0
     rows = language.with_language(documents("a text"), none).collect()
     assert [(r.lang_pred, r.score) for r in rows] == [("und", 0.0)]
+
+
+def test_letters_beyond_the_basic_plane(documents):
+    """Emoji and symbols are no letters; Deseret capitals are lower-cased, rare ideographs are letters."""
+    taught = documents((0, "le chat est sur la table", "fr"), (4, "the cat sat on the mat", "en"), (5, "𐐨𐐩𐐪 𐐨𐐩", "de"))
+    docs = documents((1, "😀😀 🎉"), (2, "😀 chat 😀"), (3, "𝟘𝟙 12"), (6, "𐐀𐐁𐐂 𐐀𐐁"), (7, "𠀀"))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.with_language(docs, taught).collect()}
+    assert got[1] == got[3] == ("und", 0.0)
+    assert got[2][0] == "fr"
+    assert got[6][0] == "de" and abs(got[6][1] - 1) < 1e-6
+    assert got[7][0] != "und"
+
+
+def test_many_trigrams_in_little_memory():
+    import tracemalloc
+
+    draw = np.random.default_rng(1)
+    text = "".join(map(chr, draw.integers(0x4E00, 0x9FA5, 200_000).tolist()))
+    profiler = language.Profiler(256)
+    tracemalloc.start()
+    vector = profiler.vector(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert vector is not None
+    # All trigrams at once would take 200,000 x 256 floats twice.
+    assert peak < 200e6
+
+
+def test_predictions_against_brute_force(documents):
+    """Every score is the cosine with the sum of the language's vectors, letter by letter."""
+    texts = [("fr", "le chat"), ("fr", "la table"), ("en", "the cat"), ("en", "a mat"), (None, "chat la")]
+    docs = documents(*[(i, text, lang) for i, (lang, text) in enumerate(texts)])
+    profiler = language.Profiler()
+
+    def slow(text):
+        letters = [" ", *text.lower(), " "]
+        own = [profiler._letter(ord(c)).astype(float) for c in letters]
+        return sum(np.roll(a, 2) * np.roll(b, 1) * c for a, b, c in zip(own, own[1:], own[2:], strict=False))
+
+    sums = {lang: sum(slow(t) for own, t in texts if own == lang) for lang in ("fr", "en")}
+    cosine = lambda a, b: a @ b / np.linalg.norm(a) / np.linalg.norm(b)
+    for row in language.with_language(docs, docs).collect():
+        scores = {lang: cosine(slow(texts[row.doc_id][1]), s) for lang, s in sums.items()}
+        best = max(scores, key=scores.get)
+        assert row.lang_pred == best
+        assert abs(row.score - scores[best]) < 1e-5
