@@ -13,7 +13,8 @@ exact comparison in blocks; on vectors that gather around centroids it is that w
 
 Defined cases: a vector that is null, empty, zero, or holds a null or a number that is not
 finite, and one without label, links with nothing and is its own component; vectors of different length do
-not link; rows with equal vectors link with each other; an empty table gives no rows. Columns of
+not link; rows with equal vectors link with each other; one without vec_id links like any other, takes the component of
+those it reaches, and has none (and is kept) if none of them has an id; ids are below 2**62; an empty table gives no rows. Columns of
 the input but the vector are kept, those named in :data:`ADDED` are replaced.
 """
 
@@ -42,6 +43,9 @@ BLOCK = 1024
 
 _ROUNDS = 8
 
+# Ids are below it.
+_NO_ID = 1 << 62
+
 # Added to the margin for rounding in the assignment; cosines themselves are compared as they are.
 _SLACK = 1e-6
 
@@ -121,10 +125,12 @@ def with_links(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -
     grouped = (
         rows.where(valid)
         .groupBy("label", "__vec")
-        .agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("first").isNotNull())
+        .agg(F.min("vec_id").cast("long").alias("first"), F.count(F.lit(1)).alias("n"))
+        .withColumn("class", F.monotonically_increasing_id())
     )
-    classes = staged(grouped.withColumn("class", F.monotonically_increasing_id()), "vectors")
+    # A class without any id links like the others, under a number after all ids.
+    own = F.coalesce("first", F.lit(_NO_ID) + F.col("class"))
+    classes = staged(grouped.withColumn("first", own), "vectors")
 
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     cells = min(MOST_CELLS, -(-largest // CELL_ROWS))
@@ -221,7 +227,7 @@ def with_links(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -
         .withColumns(
             {
                 "n_links": F.coalesce("n_links", F.lit(0)).cast("long"),
-                "component_id": F.coalesce("component_id", "vec_id"),
+                "component_id": F.coalesce(F.when(F.col("component_id") < _NO_ID, F.col("component_id")), "vec_id"),
             }
         )
         .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -66,3 +66,12 @@ def test_whole_table(spark):
     sf_dir = "/root/testdata/sf0.001"
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     assert found(catalog.op5_near_vectors(spark, sf_dir)) == plain(rows)
+
+
+def test_vectors_without_id_keep_their_links(spark):
+    """They link others and are linked, but name no component."""
+    rows = [(None, [1.0, 0.01], 0), (1, [1.0, 0.0], 0), (None, [0.0, 1.0], 0), (None, [0.0, 1.0], 0), (2, [1.0, 0.3], 0), (5, [1.0, 0.55], 0)]
+    got = near_vectors.with_links(spark.createDataFrame(rows, SCHEMA)).collect()
+    own = sorted(((r.vec_id or 0), r.n_links, r.component_id, r.kept) for r in got if r.component_id is not None)
+    assert own == [(0, 2, 1, False), (1, 2, 1, True), (2, 3, 1, False), (5, 1, 1, False)]
+    assert [(r.vec_id, r.n_links, r.kept) for r in got if r.component_id is None] == [(None, 1, True)] * 2
