@@ -80,7 +80,9 @@ class WordEncoder:
         self._library = Tokenizer.from_file(tokenizer)
         self._words: dict[bytes, bytes] = {}
         self._parts: dict[str, bytes] = {}
-        self._bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        # How the library shows the two bytes of each letter beyond ASCII.
+        shown = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self._shown = {code: shown(chr(code))[0][0] for code in range(0xC0, 0x100)}
         probe = self._PROBE.encode()
         self._by_word = True
         self._by_word = next(self.encode([probe])) == self._whole([probe])[0]
@@ -89,18 +91,17 @@ class WordEncoder:
         found = self._library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [_packed(e.ids) for e in found]
 
+    def _part(self, part: str) -> bytes:
+        shown = part if part.isascii() else part.translate(self._shown)
+        own = _packed([t.id for t in self._library.model.tokenize(shown)])
+        if len(part) <= _CACHED_LENGTH:
+            self._parts[part] = own
+        return own
+
     def _word(self, word: str) -> bytes:
         """Ids of a plain word."""
-        ids = []
-        for part in self._pieces(word.lower()):
-            own = self._parts.get(part)
-            if own is None:
-                shown = part if part.isascii() else self._bytes.pre_tokenize_str(part)[0][0]
-                own = _packed([t.id for t in self._library.model.tokenize(shown)])
-                if len(part) <= _CACHED_LENGTH:
-                    self._parts[part] = own
-            ids.append(own)
-        return b"".join(ids)
+        known = self._parts.get
+        return b"".join([known(part) or self._part(part) for part in self._pieces(word.lower())])
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Per text its ids as little-endian uint32."""
@@ -111,10 +112,15 @@ class WordEncoder:
             if len(cache) > _CACHED:
                 cache.clear()
         words, known = [text.split() for text in texts], self._words
-        new = list({w for own in words for w in own}.difference(known))
-        plain = [w for w in new if self._plain(w.decode())]
-        known.update((w, self._word(w.decode())) for w in plain)
-        others = list(set(new).difference(plain))
+        new = list(set().union(*words).difference(known))
+        # No word holds a line end.
+        shown = b"\n".join(new).decode().split("\n") if new else []
+        others = []
+        for word, text in zip(new, shown, strict=True):
+            if self._plain(text):
+                known[word] = self._word(text)
+            else:
+                others.append(word)
         known.update(zip(others, self._whole(others), strict=True))
         for own in words:
             yield b"".join(map(known.__getitem__, own))
@@ -317,7 +323,9 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                 file = TokenFile(path)
                 offsets = file.offsets().astype(np.int64)
                 ends = offsets.tolist()
-                sums = [zlib.crc32(file.range(a, b)) for a, b in zip(ends, ends[1:], strict=False)]
+                # A file is of bounded size, so it is read from one end to the other.
+                ids = file.range(0, file.tokens)
+                sums = [zlib.crc32(ids[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(file.doc_ids(), pa.int64()),
