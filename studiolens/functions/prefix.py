@@ -68,13 +68,23 @@ def prefix_before(
 ) -> DataFrame:
     """Add, per row, aggregates of the rows of the same key that come before it.
 
-    ``keys`` must not be NULL. ``levels`` name the buckets from coarse to fine; their columns
+    Rows with a NULL key are one key like any other. ``levels`` name the buckets from coarse to fine; their columns
     must not be NULL and must agree with ``order`` (rows of an earlier bucket come first).
     ``values`` maps a new column to ``("sum" | "max", expression)``. ``start`` holds one row
     per key with a starting value per new column, e.g. counters stored by an earlier load. A
     sum starts at 0, a max at NULL. ``same_rows`` are the rows of ``df`` before columns were
     added to them: keys are counted there, which spares computing those columns for it.
     """
+    result = [*df.columns, *values]
+    kinds = {f.name: f.dataType for f in df.schema}
+    # As a struct a key is never NULL: it joins with itself, and is cut into buckets if it is large.
+    key = F.struct(*keys)
+    df = df.withColumn("__key", key)
+    same_rows = None if same_rows is None else same_rows.withColumn("__key", key)
+    if start is not None:
+        own = F.struct(*[F.col(c).cast(kinds[c]).alias(c) for c in keys])
+        start = start.select(own.alias("__key"), *values)
+    keys = ["__key"]
     inputs = {name: f"__in_{name}" for name in values}
     buckets = {c: expr for level in levels for c, expr in level.items()}
     names = [list(level) for level in levels]
@@ -119,10 +129,10 @@ def prefix_before(
     # Rows of other keys keep one value in all bucket columns: their bucket is the key.
     last = upto[-1]
     flagged = rows.join(F.broadcast(large.withColumn("__large", F.lit(True))), keys, "left")
-    kinds = df.select(*[expr.alias(c) for c, expr in buckets.items()]).schema
+    bucket_types = df.select(*[expr.alias(c) for c, expr in buckets.items()]).schema
     whole = {
         f.name: F.lit(_FIRST if f.dataType.typeName().startswith("timestamp") else 0).cast(f.dataType)
-        for f in kinds
+        for f in bucket_types
     }
     bucketed = flagged.withColumns(
         {c: F.when(F.col("__large"), expr).otherwise(whole[c]) for c, expr in buckets.items()}
@@ -135,7 +145,7 @@ def prefix_before(
         bucketed.withColumns(before(last, order))
         .join(carried, last, "left")
         .select(
-            *df.columns,
+            *[F.col(c) for c in result if c not in values],
             *[
                 _merge(kind, [F.col(f"__here_{n}"), F.col(f"__carry_{n}")]).alias(n)
                 for n, (kind, _) in values.items()

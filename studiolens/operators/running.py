@@ -31,7 +31,7 @@ def with_ride_number(
     """``num``: enrolled rides of the customer so far, in order of class and booking time.
 
     Rows of another status carry the count. ``stored`` is the table loaded so far; its
-    counts go on. Rows must hold a customer.
+    counts go on. Rows without a customer are counted together, as those of one customer.
     """
     start = None
     if stored is not None:

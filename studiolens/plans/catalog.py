@@ -208,10 +208,10 @@ _simple(
 
 @query("rode_never_paid")
 def _never_paid(spark, sf_dir):
-    # Every test customer has bought something; among the riders one is no customer.
-    attend = roles.attend_ev(spark, sf_dir)
-    riders = attend.select(F.col("custid").alias("id"), "firstname", "lastname").distinct()
-    return retention.rode_never_paid(riders, attend, roles.sale(spark, sf_dir), "2024-01-31")
+    # Every test customer has bought something, but not at each studio.
+    cust, attend = roles.cust(spark, sf_dir), roles.attend_ship(spark, sf_dir)
+    paid = roles.sale(spark, sf_dir).where(F.col("studio") == "P")
+    return retention.rode_never_paid(cust, attend, paid, LATE_DAY)
 
 
 _simple("last_attendance", retention.last_attend, "cust", "attend_ship")

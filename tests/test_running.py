@@ -6,6 +6,7 @@ import pytest
 from frames import attend, cust, ts, values
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from studiolens.functions.prefix import prefix_before, time_levels
@@ -80,6 +81,20 @@ def test_rows_without_a_time_come_first(spark):
     assert values(running.with_ride_number(df), "id", "num") == [(1, 2), (2, 1)]
 
 
+@pytest.mark.parametrize("limit", LIMITS)
+def test_rows_without_customer_are_numbered_like_a_customer(spark, limit):
+    """As a plain window does, within a load and across two."""
+    df = _random(spark, 5).withColumn("custid", F.when(F.col("custid") > 1, F.col("custid")))
+    first, later = (df.where(F.expr(f"classdate {op} timestamp_ntz'2024-01-03'")) for op in ("<", ">="))
+    order = Window.partitionBy("custid").orderBy("classdate", "datein", "id")
+    plain = df.withColumn("num", F.sum(F.when(F.col("status") == "Enrolled", 1).otherwise(0)).over(order))
+    want = values(plain, "id", "num")
+    assert values(running.with_ride_number(df, task_rows=limit), "id", "num") == want
+    done = _stored(spark, running.with_ride_number(first, task_rows=limit))
+    more = running.with_ride_number(later, done, limit)
+    assert values(done.unionByName(more), "id", "num") == want
+
+
 def test_a_large_customer_is_spread_over_tasks(spark):
     # One customer holds most rows, half of them copies that differ in the id alone.
     n = 40_000
