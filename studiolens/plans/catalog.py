@@ -671,24 +671,43 @@ def _key_upsert_frames(spark, sf_dir):
     return tables.upsert(roles.attend_ev(spark, sf_dir), changed_attendance(spark, sf_dir), ["id"])
 
 
-@query("per_site_load")
-def _per_site(spark, sf_dir):
-    """Two sites, each with four exports, loaded into one store; rows per table and site."""
+def loaded_sites(spark: SparkSession, sf_dir: str, nights: list[tuple[Column, Column]]) -> str:
+    """Two sites, each with four exports a night, loaded into one store; ``nights`` are the sales
+    and the attendance that each night brings."""
     store = work_dir(spark, "store")
     home = F.col("custid") % 2
-    parts = {
-        "series": (roles.openseries(spark, sf_dir), F.length("emailaddress") % 2, schema.OPEN_SERIES),
-        "customers": (roles.cust(spark, sf_dir), F.col("id") % 2, schema.CUSTOMERS),
-        "sales": (roles.sale(spark, sf_dir), home, schema.SALES),
-        "attendance": (roles.attend_ev(spark, sf_dir), home, schema.ATTENDANCE),
-    }
-    for site in (0, 1):
-        paths = {}
-        for name, (rows, at, table) in parts.items():
-            paths[name] = work_dir(spark, f"{name}-{site}")
-            header = schema.ATTENDANCE_HEADER if name == "attendance" else None
-            exports.write_export(rows.where(at == site), paths[name], table, header)
-        load.ingest(spark, f"site{site}", load.SiteFiles(**paths), store, grain="month")
+    for sold, attended in nights:
+        parts = {
+            "series": (roles.openseries(spark, sf_dir), F.length("emailaddress") % 2, schema.OPEN_SERIES),
+            "customers": (roles.cust(spark, sf_dir), F.col("id") % 2, schema.CUSTOMERS),
+            "sales": (roles.sale(spark, sf_dir).where(sold), home, schema.SALES),
+            "attendance": (roles.attend_ev(spark, sf_dir).where(attended), home, schema.ATTENDANCE),
+        }
+        for site in (0, 1):
+            paths = {}
+            for name, (rows, at, table) in parts.items():
+                paths[name] = work_dir(spark, f"{name}-{site}")
+                header = schema.ATTENDANCE_HEADER if name == "attendance" else None
+                exports.write_export(rows.where(at == site), paths[name], table, header)
+            load.ingest(spark, f"site{site}", load.SiteFiles(**paths), store, grain="month")
+    return store
+
+
+@query("per_site_load_rows")
+def _per_site_rows(spark, sf_dir):
+    """Two nights at two sites: every attendance with its counts, the second night's going on."""
+    nights = [
+        (clock.half_open("dt", *sold), clock.half_open("classdate", *attended))
+        for sold, attended in (((None, SALES_DAY), (None, EVENTS_DAY)), ((SALES_DAY, None), (EVENTS_DAY, None)))
+    ]
+    store = loaded_sites(spark, sf_dir, nights)
+    return spark.read.parquet(f"{store}/attend").select("site", "id", "custid", "num", "totnum")
+
+
+@query("per_site_load")
+def _per_site(spark, sf_dir):
+    """One night at two sites; rows per table and site."""
+    store = loaded_sites(spark, sf_dir, [(F.lit(True), F.lit(True))])
 
     def counted(table: str, amount: Column) -> DataFrame:
         return (
