@@ -37,7 +37,12 @@ def path_of(url: Column) -> Column:
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
-    """``rule`` (host and path in one string) and ``verdict`` from pairs of (verdict, rule)."""
+    """``rule`` (host and path in one string) and ``verdict`` from pairs of (verdict, rule).
+
+    A rule needs the slash that ends its host; one without would fit nothing, and is refused.
+    """
+    if wrong := [r for _, r in rules if "/" not in r]:
+        raise ValueError(f"rules without a path: {wrong}")
     entries = [F.struct(F.lit(r).alias("rule"), F.lit(v).alias("verdict")) for v, r in rules]
     return spark.range(1).select(F.inline(F.array(*entries)))
 

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from studiolens.llm import url_filter
@@ -48,3 +49,8 @@ def test_kept_and_empty(spark):
     assert [r.page_id for r in kept.collect()] == [2]
     assert url_filter.judge(pages.limit(0), rules).count() == 0
     assert {r.verdict for r in url_filter.judge(pages, rules.limit(0)).collect()} == {"allow"}
+
+
+def test_rule_without_path_is_refused(spark):
+    with pytest.raises(ValueError, match="org"):
+        url_filter.rule_table(spark, [("allow", "com/"), ("block", "org")])
