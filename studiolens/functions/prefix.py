@@ -10,25 +10,33 @@ Where there are large keys, their rows are read once more for the totals of thei
 
 from __future__ import annotations
 
-from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one key that a task may order by itself. A key counts as large beyond it, so there
-# are at most (rows / TASK_ROWS) large keys: that bounds what is broadcast below.
+# Rows of one key that a task may order by itself. A key counts as large beyond it.
 TASK_ROWS = 1_000_000
 
+# The set of large keys is broadcast. However many rows there are, it has at most this many: a
+# key must also hold more than this part of all rows, and no more keys than this can.
+MOST_LARGE = 100_000
+
 # Stands for a missing time in bucket columns only; NULL times sort first, as it does.
 _FIRST = "0001-01-01 00:00:00"
 
 _AGG = {"sum": F.sum, "max": F.max}
 
 
-def _merge(kind: str, parts: list[Column]) -> Column:
-    if kind == "sum":
-        return reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0)) for p in parts])
-    return parts[0] if len(parts) == 1 else F.greatest(*parts)
+class Mark(NamedTuple):
+    """A value for :func:`prefix_before`: the sum ``of`` as it stood after the last flagged row."""
+
+    of: str
+    flag: Column
+
+
+def _zero(part: Column) -> Column:
+    return F.coalesce(part, F.lit(0))
 
 
 def instant(col: Column | str, unit: str | None = None) -> Column:
@@ -61,7 +69,7 @@ def prefix_before(
     keys: list[str],
     levels: list[dict[str, Column]],
     order: list[str],
-    values: dict[str, tuple[str, Column]],
+    values: dict[str, tuple[str, Column] | Mark],
     start: DataFrame | None = None,
     task_rows: int = TASK_ROWS,
     same_rows: DataFrame | None = None,
@@ -70,9 +78,9 @@ def prefix_before(
 
     Rows with a NULL key are one key like any other. ``levels`` name the buckets from coarse to fine; their columns
     must not be NULL and must agree with ``order`` (rows of an earlier bucket come first).
-    ``values`` maps a new column to ``("sum" | "max", expression)``. ``start`` holds one row
-    per key with a starting value per new column, e.g. counters stored by an earlier load. A
-    sum starts at 0, a max at NULL. ``same_rows`` are the rows of ``df`` before columns were
+    ``values`` maps a new column to ``("sum" | "max", expression)`` or to a :class:`Mark` of a sum that does not fall.
+    ``start`` holds one row per key with a starting value per new column, e.g. counters stored by an
+    earlier load. A sum starts at 0, a max and a mark at NULL. ``same_rows`` are the rows of ``df`` before columns were
     added to them: keys are counted there, which spares computing those columns for it.
     """
     result = [*df.columns, *values]
@@ -90,25 +98,55 @@ def prefix_before(
     names = [list(level) for level in levels]
     upto = [keys + [c for part in names[: i + 1] for c in part] for i in range(len(names))]
 
-    rows = df.withColumns({inputs[n]: expr for n, (_, expr) in values.items()})
-    large = (df if same_rows is None else same_rows).groupBy(*keys).agg(
+    marks = {n: value for n, value in values.items() if isinstance(value, Mark)}
+    plain = {n: value for n, value in values.items() if n not in marks}
+    rows = df.withColumns({inputs[n]: expr for n, (_, expr) in plain.items()})
+    # A row is a bucket of one row: a mark is a place within its bucket, NULL if there is none.
+    rows = rows.withColumns({inputs[n]: F.when(m.flag, F.col(inputs[m.of])) for n, m in marks.items()})
+    counts = (df if same_rows is None else same_rows).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n")
     )
-    large = large.where(F.col("__n") > task_rows).select(*keys)
+    part_of_all = counts.agg(F.sum("__n") / MOST_LARGE).scalar()
+    large = counts.where((F.col("__n") > task_rows) & (F.col("__n") > part_of_all)).select(*keys)
 
-    def before(partition: list[str], ordering: list[str]) -> dict[str, Column]:
+    def before(bucketed: DataFrame, partition: list[str], ordering: list[str]) -> DataFrame:
+        """Add what comes before each row or bucket within the bucket around it."""
         frame = (
             Window.partitionBy(*partition)
             .orderBy(*ordering)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
-        return {f"__here_{n}": _AGG[kind](inputs[n]).over(frame) for n, (kind, _) in values.items()}
-
-    # Bucket totals of the large keys, the coarser ones from the finer ones.
+        sums = {f"__here_{n}": _AGG[kind](inputs[n]).over(frame) for n, (kind, _) in plain.items()}
+        places = {
+            f"__here_{n}": F.max(_zero(F.col(f"__here_{m.of}")) + F.col(inputs[n])).over(frame)
+            for n, m in marks.items()
+        }
+        bucketed = bucketed.withColumns(sums)
+        return bucketed.withColumns(places) if places else bucketed
+
+    def merged(n: str, carried: bool) -> Column:
+        """What comes before within the bucket, and before the bucket."""
+        here, carry = F.col(f"__here_{n}"), F.col(f"__carry_{n}")
+        if n in marks:
+            if not carried:
+                return here
+            return F.coalesce(_zero(F.col(f"__carry_{marks[n].of}")) + here, carry)
+        if values[n][0] == "sum":
+            return _zero(here) + _zero(carry) if carried else _zero(here)
+        return F.greatest(here, carry) if carried else here
+
+    # Bucket totals of the large keys, the coarser ones from the finer ones. Sums and maxima
+    # need no order; for a mark the parts of a bucket are put in order.
     source = rows.join(F.broadcast(large), keys, "left_semi").withColumns(buckets)
     totals: list[DataFrame] = []
-    for columns in reversed(upto):
-        aggs = [_AGG[kind](inputs[n]).alias(inputs[n]) for n, (kind, _) in values.items()]
+    for columns, inner in zip(reversed(upto), reversed([*names[1:], order]), strict=True):
+        aggs = [_AGG[kind](inputs[n]).alias(inputs[n]) for n, (kind, _) in plain.items()]
+        if marks:
+            source = before(source, columns, inner)
+        aggs += [
+            F.max(_zero(F.col(f"__here_{m.of}")) + F.col(inputs[n])).alias(inputs[n])
+            for n, m in marks.items()
+        ]
         source = source.groupBy(*columns).agg(*aggs)
         totals.insert(0, source)
 
@@ -116,15 +154,12 @@ def prefix_before(
     carry = start
     for i, columns in enumerate(upto):
         parents = keys if i == 0 else upto[i - 1]
-        here = totals[i].withColumns(before(parents, names[i]))
-        parts = {n: [F.col(f"__here_{n}")] for n in values}
-        if carry is not None:
+        here = before(totals[i], parents, names[i])
+        carried = carry is not None
+        if carried:
             outer = carry.select(*parents, *[F.col(n).alias(f"__carry_{n}") for n in values])
             here = here.join(outer, parents, "left")
-            parts = {n: [*p, F.col(f"__carry_{n}")] for n, p in parts.items()}
-        carry = here.select(
-            *columns, *[_merge(kind, parts[n]).alias(n) for n, (kind, _) in values.items()]
-        )
+        carry = here.select(*columns, *[merged(n, carried).alias(n) for n in values])
 
     # Rows of other keys keep one value in all bucket columns: their bucket is the key.
     last = upto[-1]
@@ -140,15 +175,12 @@ def prefix_before(
     if start is not None:
         small = start.join(F.broadcast(large), keys, "left_anti").withColumns(whole)
         carry = carry.unionByName(small.select(*last, *values))
-    carried = carry.select(*last, *[F.col(n).alias(f"__carry_{n}") for n in values])
+    outer = carry.select(*last, *[F.col(n).alias(f"__carry_{n}") for n in values])
     return (
-        bucketed.withColumns(before(last, order))
-        .join(carried, last, "left")
+        before(bucketed, last, order)
+        .join(outer, last, "left")
         .select(
             *[F.col(c) for c in result if c not in values],
-            *[
-                _merge(kind, [F.col(f"__here_{n}"), F.col(f"__carry_{n}")]).alias(n)
-                for n, (kind, _) in values.items()
-            ],
+            *[merged(n, True).alias(n) for n in values],
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from studiolens.functions.prefix import TASK_ROWS, prefix_before, time_levels
+from studiolens.functions.prefix import TASK_ROWS, Mark, prefix_before, time_levels
 
 ORDER = ["ts", "event_id"]
 
@@ -19,23 +19,24 @@ def probe_states(
     failures, and on the first sample of a target. ``state`` holds ``target, downcount`` at
     the end of earlier samples; its targets are not new.
 
-    A run may be as long as the table, so runs are not gathered: a sample is numbered, and
-    its run is the distance to the last success before it.
+    A run may be as long as the table, so runs are not gathered: samples are counted, a success
+    marks the count, and a run is the distance from the last mark. Both come from one pass.
     """
-    levels = time_levels(["ts"], "event_id")
-    samples = probes.select("target", "ts", "event_id", "down")
-    numbered = prefix_before(
-        samples, ["target"], levels, ORDER, {"__seq": ("sum", F.lit(1))}, task_rows=task_rows
-    ).withColumn("__seq", F.col("__seq") + 1)
     start = None
     if state is not None:
         # A run that goes on looks like a last success that many samples ago.
-        start = state.select("target", (-F.col("downcount")).cast("bigint").alias("__up"))
-    success = F.when(F.col("down") == 0, F.col("__seq"))
+        ago = (-F.col("downcount")).cast("bigint")
+        start = state.select("target", F.lit(0).cast("bigint").alias("__seq"), ago.alias("__up"))
     ran = prefix_before(
-        numbered, ["target"], levels, ORDER, {"__up": ("max", success)}, start, task_rows, samples
+        probes.select("target", "ts", "event_id", "down"),
+        ["target"],
+        time_levels(["ts"], "event_id"),
+        ORDER,
+        {"__seq": ("sum", F.lit(1)), "__up": Mark("__seq", F.col("down") == 0)},
+        start,
+        task_rows,
     )
-    failures_before = F.col("__seq") - 1 - F.coalesce("__up", F.lit(0))
+    failures_before = F.col("__seq") - F.coalesce("__up", F.lit(0))
     out = ran.withColumn(
         "downcount", F.when(F.col("down") == 1, failures_before + 1).otherwise(F.lit(0))
     ).withColumn(
@@ -43,7 +44,7 @@ def probe_states(
         F.when((F.col("down") == 1) & (F.col("downcount") % 2 == 0), "down")
         .when((F.col("down") == 0) & (failures_before >= 2), "recovered")
         # Only a target without earlier samples or state has no success and no start.
-        .when((F.col("__seq") == 1) & F.col("__up").isNull(), "first"),
+        .when((F.col("__seq") == 0) & F.col("__up").isNull(), "first"),
     )
     return out.select(
         "target", "ts", "event_id", "down", "downcount",

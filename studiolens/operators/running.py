@@ -209,14 +209,27 @@ def last_known_or_upcoming(
 ) -> DataFrame:
     """Customers without a future class whose count is near a milestone, and upcoming
     rides near it."""
-    names = [F.min("firstname").alias("firstname"), F.min("lastname").alias("lastname")]
-    past = (
-        attend.groupBy("custid")
-        .agg(*names, F.max("classdate").alias("classdate"), F.max("num").alias("num"))
-        .where(clock.half_open("classdate", None, as_of) & F.col("num").between(lo, hi))
+    columns = ["custid", "firstname", "lastname", "classdate", "num"]
+    near = F.col("num").between(lo, hi)
+    coming = F.when(
+        clock.up_to("classdate", as_of, 0, ahead) & near, F.struct(*columns[1:])
     )
-    coming = attend.where(
-        clock.up_to("classdate", as_of, 0, ahead) & F.col("num").between(lo, hi)
+    # One pass over the numbered rows: upcoming ones stand by themselves, with their number of
+    # copies, the others of a customer are one row.
+    groups = attend.groupBy("custid", coming.alias("__coming")).agg(
+        F.min("firstname").alias("firstname"),
+        F.min("lastname").alias("lastname"),
+        F.max("classdate").alias("classdate"),
+        F.max("num").alias("num"),
+        F.count(F.lit(1)).alias("__n"),
+    )
+    stands = F.col("__coming").isNotNull()
+    some = F.max(stands).over(Window.partitionBy("custid"))
+    last = ~F.col("__some") & clock.half_open("classdate", None, as_of) & near
+    copies = F.explode(F.sequence(F.lit(1), F.when(stands, F.col("__n")).otherwise(F.lit(1))))
+    return (
+        groups.withColumn("__some", some)
+        .where(stands | last)
+        .select(*columns, copies.alias("__copy"))
+        .select(*columns)
     )
-    columns = ["custid", "firstname", "lastname", "classdate", "num"]
-    return past.select(*columns).unionByName(coming.select(*columns))

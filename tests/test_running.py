@@ -9,7 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from studiolens.functions.prefix import prefix_before, time_levels
+from studiolens.functions import prefix
+from studiolens.functions.prefix import Mark, prefix_before, time_levels
 from studiolens.operators import running
 from studiolens.session import work_dir
 
@@ -166,6 +167,53 @@ def test_prefix_sum_and_max_of_any_rows(spark, rows, limit):
             assert row.top == (max(earlier) if earlier else None)
 
 
+@pytest.mark.parametrize("limit", [0, 7, 1000])
+def test_a_mark_is_the_sum_after_the_last_flagged_row(spark, limit):
+    rng = random.Random(limit)
+    data = [
+        (i, rng.choice([1, 1, 1, 2, None]), ts(f"2024-01-0{rng.randint(1, 3)} 00:00:0{rng.randint(0, 2)}"),
+         rng.randint(0, 3), rng.random() < 0.2)
+        for i in range(120)
+    ]
+    df = spark.createDataFrame(data, "id int, k int, t timestamp_ntz, v int, hit boolean")
+    start = spark.createDataFrame([(2, 10, -4)], "k int, total bigint, at bigint")
+    got = prefix_before(
+        df, ["k"], time_levels(["t"], "id"), ["t", "id"],
+        {"total": ("sum", F.col("v")), "at": Mark("total", F.col("hit"))}, start, limit,
+    )
+    state, want = {2: (10, -4)}, {}
+    for i, k, _, v, hit in sorted(data, key=lambda r: (r[2], r[0])):
+        total, at = state.get(k, (0, None))
+        want[i] = (total, at)
+        state[k] = (total + v, total + v if hit else at)
+    assert {r.id: (r.total, r.at) for r in got.collect()} == want
+
+
+def test_the_set_of_large_keys_is_bounded(spark, monkeypatch):
+    """With a limit of no rows every key is large, but no more are told apart than the bound."""
+    df = _random(spark, 6)
+    monkeypatch.setattr(prefix, "MOST_LARGE", 3)
+    got = running.with_ride_number(df, task_rows=0)
+    assert {r.id: r.num for r in got.collect()} == {i: n for i, (n, _) in _loop(df.collect()).items()}
+    assert "/ 3" in got._jdf.queryExecution().analyzed().toString()
+
+
+def test_last_or_upcoming_keeps_copies_and_skips_those_that_come(spark):
+    day = "2024-01-10"
+    rows = [
+        (1, 1, "2024-01-05 06:00:00", 97), (2, 1, "2024-01-06 06:00:00", 98),
+        (3, 2, "2024-01-05 06:00:00", 98), (4, 2, "2024-01-11 06:00:00", 99), (4, 2, "2024-01-11 06:00:00", 99),
+        (5, 3, "2024-01-05 06:00:00", 99), (6, 3, "2024-02-20 06:00:00", 100),
+        (7, None, "2024-01-05 06:00:00", 100), (8, 4, None, 98),
+    ]
+    df = spark.createDataFrame(
+        [(c, "f", "l", ts(at) if at else None, n) for _, c, at, n in rows],
+        "custid bigint, firstname string, lastname string, classdate timestamp_ntz, num bigint",
+    )
+    got = running.last_known_or_upcoming(df, day).collect()
+    assert sorted(((r.custid or 0, r.num) for r in got)) == [(0, 100), (1, 98), (2, 99), (2, 99)]
+
+
 def test_milestones_carry_cancelled_rows_unless_asked(spark):
     rows = [(i, 1, "Enrolled", f"2024-01-{i:02d} 06:00:00") for i in range(1, 11)]
     rows.append((11, 1, "Cancelled", "2024-01-10 18:00:00"))
