@@ -33,7 +33,7 @@ from studiolens.operators import (
 )
 from studiolens.plans import load
 from studiolens.session import work_dir
-from studiolens.sources import exports, roles, tables
+from studiolens.sources import exports, roles, tables, versions
 from studiolens.streaming import files, outages, rides
 from studiolens.streaming import polls as polls_job
 
@@ -582,9 +582,9 @@ def _full_refresh(spark, sf_dir):
     """A table loaded twice holds the rows of the second load."""
     path = work_dir(spark, "openseries")
     series = roles.openseries(spark, sf_dir)
-    tables.full_refresh(series.where(F.col("remaining") > 5), path)
-    tables.full_refresh(series, path)
-    return spark.read.parquet(path)
+    versions.full_refresh(series.where(F.col("remaining") > 5), path)
+    versions.full_refresh(series, path)
+    return versions.current(spark, path)
 
 
 @query("full_refresh_refused")
@@ -592,13 +592,13 @@ def _refused(spark, sf_dir):
     """A table whose second load has a bad row holds the rows of the first."""
     path = work_dir(spark, "openseries")
     series = roles.openseries(spark, sf_dir)
-    tables.full_refresh(series.where(F.col("remaining") > 5), path)
+    versions.full_refresh(series.where(F.col("remaining") > 5), path)
     bad = F.raise_error(F.lit("bad row")).cast("string")
     broken = F.when(F.col("remaining") == 5, bad).otherwise(F.col("series"))
     try:
-        tables.full_refresh(series.withColumn("series", broken), path)
+        versions.full_refresh(series.withColumn("series", broken), path)
     except PySparkException:
-        return spark.read.parquet(path)
+        return versions.current(spark, path)
     raise AssertionError("the bad row was loaded")
 
 
@@ -710,8 +710,9 @@ def _per_site(spark, sf_dir):
     store = loaded_sites(spark, sf_dir, [(F.lit(True), F.lit(True))])
 
     def counted(table: str, amount: Column) -> DataFrame:
+        refreshed = versions.current_sites(spark, f"{store}/{table}")
         return (
-            spark.read.parquet(f"{store}/{table}")
+            (spark.read.parquet(f"{store}/{table}") if refreshed is None else refreshed)
             .groupBy("site")
             .agg(F.count(F.lit(1)).alias("cnt"), F.sum(amount).cast("double").alias("amount"))
             .select(F.lit(table).alias("table_name"), "site", "cnt", "amount")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from studiolens import schema
 from studiolens.operators import running
 from studiolens.session import remove_dir, work_dir
-from studiolens.sources import exports, tables
+from studiolens.sources import exports, tables, versions
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,7 @@ def load_attendance(
     Right when loads move forward in time, as each daily export does. A row without a
     customer is refused, and with it the export. The batch is parsed once, before anything changes.
     """
+    tables.recover(spark, path)
     folder = work_dir(spark, "attendance")
     missing = F.raise_error(F.lit("attendance without a customer")).cast("bigint")
     incoming.withColumn("custid", F.coalesce("custid", missing)).write.parquet(folder)
@@ -51,16 +52,16 @@ def ingest(
     """Run the four loads of one site into its partition of each table.
 
     Tables lie at ``store/<table>/site=<site>``, so reading ``store/<table>`` gives all
-    sites with a ``site`` column.
+    sites with a ``site`` column (``versions.current_sites`` for series and customers).
     """
 
     def place(table: str) -> str:
         return f"{store}/{table}/site={site}"
 
     series = exports.read_export(spark, files.series, schema.OPEN_SERIES)
-    tables.full_refresh(series, place("openseries"))
+    versions.full_refresh(series, place("openseries"))
     customers = exports.read_export(spark, files.customers, schema.CUSTOMERS)
-    tables.full_refresh(customers, place("cust"))
+    versions.full_refresh(customers, place("cust"))
     sales = exports.read_export(spark, files.sales, schema.SALES)
     tables.replace_range_at(spark, place("sale"), sales, "dt", grain)
     attendance = exports.read_export(

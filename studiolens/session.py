@@ -74,9 +74,30 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
-def move_dir(spark: SparkSession, source: str, target: str) -> bool:
-    """Rename a folder; False if it is not there or cannot be moved."""
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it is not there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(folder))
+
+
+def write_text(spark: SparkSession, path: str, text: str = "") -> None:
+    """Create a small file; one that is there already is an error."""
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(file, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
     jvm = spark.sparkContext._jvm
-    old, new = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
-    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(old) and fs.rename(old, new))
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    source = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(file)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()

@@ -1,42 +1,25 @@
-"""Load modes: full refresh, range replace and key upsert.
+"""Load modes: range replace and key upsert. A full refresh is in ``versions``.
 
 Each mode has a DataFrame form (old rows, new rows -> rows after the load) and a form for
 tables at rest. Stored fact tables are Parquet folders partitioned by ``day``; a load reads
 and rewrites only the days it touches, never the whole history.
+
+A load first writes its batch into the table's folder, hidden from readers, with a note of what is
+to be done. From then on it will be finished: one that is broken off is done again by
+:func:`recover`, with which every load begins. Doing it twice gives what doing it once gives.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studiolens.session import move_dir, remove_dir, work_dir
-
-
-def full_refresh(df: DataFrame, path: str) -> None:
-    """Replace the whole table, once all new rows are written.
-
-    They go to a folder beside the table whose name readers skip. A bad row fails that write
-    and the table stays as it is; only a finished one takes the table's place.
-    """
-    spark = df.sparkSession
-    parent, slash, _ = path.rstrip("/").rpartition("/")
-    fresh, old = (f"{parent}{slash}_{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
-    try:
-        df.write.parquet(fresh)
-    except Exception:
-        remove_dir(spark, fresh)
-        raise
-    swapped = move_dir(spark, path, old)
-    if not move_dir(spark, fresh, path):
-        if swapped:
-            move_dir(spark, old, path)
-        raise OSError(f"{fresh} could not take the place of {path}")
-    remove_dir(spark, old)
+from studiolens.session import children, read_text, remove_dir, write_text
 
 
 def time_bounds(df: DataFrame, column: str) -> DataFrame:
@@ -101,15 +84,52 @@ def _parts_in(df: DataFrame) -> set[dt.date]:
     return {row[PART] for row in df.select(PART).distinct().collect()}
 
 
-def _staged(spark: SparkSession, incoming: DataFrame, ts: str, grain: str) -> tuple[DataFrame, str]:
-    """The batch with its partitions, written once to the shared folder, and that folder.
+# A load under way: its batch, what to do with it, and the empty marker that says both are whole.
+_BATCH, _NOTE, _READY = "_batch-", "_note-", "_ready-"
+
 
-    It is read several times, it may come from the table about to change, and a bad row in
-    it must fail before anything changes.
+def _begin(spark: SparkSession, path: str, incoming: DataFrame, note: dict) -> str:
+    """Write a batch and what to do with it; the name of the load.
+
+    The batch is read several times, it may come from the table about to change, and a bad
+    row in it must fail before anything changes.
     """
-    folder = work_dir(spark, "incoming")
-    incoming.withColumn(PART, _part(F.col(ts), grain)).write.parquet(folder)
-    return spark.read.parquet(folder), folder
+    recover(spark, path)
+    load = uuid.uuid4().hex
+    try:
+        rows = incoming.withColumn(PART, _part(F.col(note["ts"]), note["grain"]))
+        rows.write.parquet(f"{path}/{_BATCH}{load}")
+    except Exception:
+        remove_dir(spark, f"{path}/{_BATCH}{load}")
+        raise
+    stored = stored_rows(spark, path)
+    untimed = 0 if stored is None else _untimed(stored, note["ts"])
+    write_text(spark, f"{path}/{_NOTE}{load}", json.dumps({**note, "untimed": untimed}))
+    write_text(spark, f"{path}/{_READY}{load}")
+    return load
+
+
+def _untimed(rows: DataFrame, ts: str) -> int:
+    return rows.where((F.col(PART) == F.lit(NO_DAY)) & F.col(ts).isNull()).count()
+
+
+def _finish(spark: SparkSession, path: str, load: str) -> None:
+    """Do what the note of a load says, then take the load away."""
+    note = json.loads(read_text(spark, f"{path}/{_NOTE}{load}"))
+    incoming = spark.read.parquet(f"{path}/{_BATCH}{load}")
+    if note["keys"]:
+        _upsert_parts(spark, path, incoming, note["keys"], note["ts"])
+    else:
+        _replace_parts(spark, path, incoming, note["ts"], note["grain"], note["untimed"])
+    for kind in (_READY, _NOTE, _BATCH):
+        remove_dir(spark, f"{path}/{kind}{load}")
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish a load of the table that was broken off, if there is one."""
+    for name in children(spark, path):
+        if name.startswith(_READY):
+            _finish(spark, path, name.removeprefix(_READY))
 
 
 def _swap_parts(
@@ -150,8 +170,18 @@ def replace_range_at(
 
     Rows without a time lie in no range: stored ones stay, new ones are added.
     """
-    incoming, folder = _staged(spark, incoming, ts, grain)
+    note = {"ts": ts, "grain": grain, "keys": None}
+    _finish(spark, path, _begin(spark, path, incoming, note))
+
+
+def _replace_parts(
+    spark: SparkSession, path: str, incoming: DataFrame, ts: str, grain: str, untimed: int
+) -> None:
+    """``untimed`` rows without a time were stored before the load began."""
     stored = stored_rows(spark, path)
+    if stored is not None and _untimed(stored, ts) > untimed:
+        # The load is done again, and its rows without a time have been added already.
+        incoming = incoming.where(F.col(ts).isNotNull())
     touched = _parts_in(incoming)
     if stored is None:
         _swap_parts(spark, path, None, incoming, set())
@@ -166,7 +196,6 @@ def replace_range_at(
             within = within | (part == F.lit(NO_DAY))
         old = stored.where(within)
         _swap_parts(spark, path, old.where(kept), incoming, touched | _parts_in(old))
-    remove_dir(spark, folder)
 
 
 def upsert_at(
@@ -182,19 +211,37 @@ def upsert_at(
     or receive a row."""
     if latest_by:
         incoming = newest_per_key(incoming, keys, latest_by)
-    incoming, folder = _staged(spark, incoming, ts, grain)
+    note = {"ts": ts, "grain": grain, "keys": keys}
+    _finish(spark, path, _begin(spark, path, incoming, note))
+
+
+def matching(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """Stored rows that may have a key of a batch: those within the range of its first key.
+
+    The range is a literal, so files and row groups whose statistics lie outside are not read.
+    Ids that grow with time leave the recent files of a nightly batch.
+    """
+    first, last = incoming.agg(F.min(keys[0]), F.max(keys[0])).first()
+    if first is None:
+        return stored.limit(0)
+    return stored.where(F.col(keys[0]).between(F.lit(first), F.lit(last)))
+
+
+def _upsert_parts(
+    spark: SparkSession, path: str, incoming: DataFrame, keys: list[str], ts: str
+) -> None:
     stored = stored_rows(spark, path)
     if stored is None:
         _swap_parts(spark, path, None, incoming, set())
-    else:
-        ids = incoming.select(*keys).distinct()
-        touched = _parts_in(incoming)
-        if ts not in keys:
-            # The stored row of a key may lie in another partition than the new one.
-            touched |= _parts_in(stored.select(PART, *keys).join(ids, keys, "left_semi"))
-        kept = stored.where(F.col(PART).isin(sorted(touched))).join(ids, keys, "left_anti")
-        _swap_parts(spark, path, kept.select(*stored.columns), incoming, touched)
-    remove_dir(spark, folder)
+        return
+    ids = incoming.select(*keys).distinct()
+    touched = _parts_in(incoming)
+    if ts not in keys:
+        # The stored row of a key may lie in another partition than the new one.
+        near = matching(stored.select(PART, *keys), incoming, keys)
+        touched |= _parts_in(near.join(ids, keys, "left_semi"))
+    kept = stored.where(F.col(PART).isin(sorted(touched))).join(ids, keys, "left_anti")
+    _swap_parts(spark, path, kept.select(*stored.columns), incoming, touched)
 
 
 def stored_in_days_of(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from studiolens import schema
 from studiolens.plans import load
 from studiolens.session import work_dir
-from studiolens.sources import exports, tables
+from studiolens.sources import exports, tables, versions
 
 HEAD = "DT,CUSTID,PMTYPE,TOTAL,ITEM,TYP,FIRST,LAST,STUDIO"
 GOOD = '2014-07-08 06:00:00.0,7,"Card",75.0,"Shirt, ""blue""",retail,Ann,,"Main"'
@@ -80,16 +80,93 @@ def test_text_keeps_its_blanks_and_numbers_lose_them(spark, write, tmp_path):
 
 def test_a_bad_file_leaves_the_table_as_it_is(spark, write):
     path = work_dir(spark, "sale")
-    tables.full_refresh(exports.read_export(spark, write(HEAD, GOOD), schema.SALES), path)
+    versions.full_refresh(exports.read_export(spark, write(HEAD, GOOD), schema.SALES), path)
     for bad in ("2014-07-08 06:00:00.0,7,Card", GOOD.replace(",7,", ",seven,")):
         with pytest.raises(Exception, match="(?i)malformed|CAST_INVALID_INPUT"):
-            tables.full_refresh(exports.read_export(spark, write(HEAD, GOOD, bad), schema.SALES), path)
-        assert tables.stored_rows(spark, path).count() == 1
-    again = tables.stored_rows(spark, path)
-    tables.full_refresh(again.unionByName(again), path)  # a table may be made from itself
-    assert tables.stored_rows(spark, path).count() == 2
-    left = os.listdir(os.path.dirname(path))
-    assert not [name for name in left if name.startswith(("_new", "_old"))]
+            versions.full_refresh(exports.read_export(spark, write(HEAD, GOOD, bad), schema.SALES), path)
+        assert versions.current(spark, path).count() == 1
+    again = versions.current(spark, path)
+    versions.full_refresh(again.unionByName(again), path)  # a table may be made from itself
+    assert versions.current(spark, path).count() == 2
+    # The version before stays for its readers, nothing else does.
+    assert len([name for name in os.listdir(path) if name.startswith("_rows-")]) == 2
+
+
+def test_a_reader_sees_one_whole_version(spark):
+    path = work_dir(spark, "cust")
+    assert versions.current(spark, path) is None
+    versions.full_refresh(spark.range(3), path)
+    reading = versions.current(spark, path)
+    # A load that is killed before its marker is there.
+    spark.range(100, 200).write.parquet(f"{path}/_rows-{2:012d}-killed")
+    assert versions.current(spark, path).count() == 3
+    versions.full_refresh(spark.range(5), path)
+    assert (reading.count(), versions.current(spark, path).count()) == (3, 5)
+    for n in range(6, 18):
+        versions.full_refresh(spark.range(n), path)
+        assert versions.current(spark, path).count() == n
+
+
+def _break_off(monkeypatch):
+    """The process ends after the new files are committed, before emptied days are removed."""
+
+    def killed(spark, path):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(tables, "remove_dir", killed)
+
+
+def test_a_broken_off_replace_is_finished_by_the_next_load(spark, monkeypatch):
+    path = work_dir(spark, "sale")
+    times = ["2024-01-01 09:00:00", "2024-01-02 09:00:00", "2024-01-03 09:00:00", None]
+    old = spark.createDataFrame([(i, ts(t) if t else None) for i, t in enumerate(times)], "id int, dt timestamp_ntz")
+    new = spark.createDataFrame(
+        [(10, ts(times[0])), (11, ts(times[2])), (12, None)], "id int, dt timestamp_ntz"
+    )
+    tables.replace_range_at(spark, path, old, "dt")
+    with monkeypatch.context() as patch:
+        _break_off(patch)
+        with pytest.raises(KeyboardInterrupt):
+            tables.replace_range_at(spark, path, new, "dt")
+    assert os.path.exists(f"{path}/part_day=2024-01-02")
+    tables.recover(spark, path)
+    want = [(3,), (10,), (11,), (12,)]
+    assert sorted(values(tables.read_table(spark, path), "id")) == want
+    assert not os.path.exists(f"{path}/part_day=2024-01-02")
+    assert all(name.startswith("part_day") for name in os.listdir(path) if not name.startswith((".", "_SUCCESS")))
+    tables.recover(spark, path)
+    assert sorted(values(tables.read_table(spark, path), "id")) == want
+
+
+@pytest.mark.parametrize("begun", [True, False])
+def test_a_broken_off_upsert_is_finished_by_the_next_load(spark, monkeypatch, begun):
+    path = work_dir(spark, "attend")
+    old = attend(spark, [(1, 1, "Enrolled", "2024-01-01 06:00:00"), (2, 1, "Enrolled", "2024-01-02 06:00:00")])
+    new = attend(spark, [(1, 1, "Cancelled", "2024-01-03 06:00:00"), (3, 1, "Enrolled", None)])
+    tables.upsert_at(spark, path, old, ["id"], "classdate")
+    with monkeypatch.context() as patch:
+        if begun:
+            _break_off(patch)
+        else:
+            patch.setattr(tables, "_swap_parts", lambda *_: _break_off(patch) or tables.remove_dir(None, None))
+        with pytest.raises(KeyboardInterrupt):
+            tables.upsert_at(spark, path, new, ["id"], "classdate")
+    tables.upsert_at(spark, path, attend(spark, [(4, 1, "Enrolled", "2024-01-05 06:00:00")]), ["id"], "classdate")
+    assert values(tables.read_table(spark, path), "id", "status") == [
+        (1, "Cancelled"), (2, "Enrolled"), (3, "Enrolled"), (4, "Enrolled")
+    ]
+    assert not os.path.exists(f"{path}/part_day=2024-01-01")
+
+
+def test_ids_are_looked_up_within_the_range_of_the_batch(spark):
+    stored = spark.createDataFrame([(i, i) for i in range(10)], "id long, v int")
+    path = work_dir(spark, "ids")
+    stored.write.parquet(path)
+    near = tables.matching(spark.read.parquet(path), stored.where("id in (3, 5)"), ["id"])
+    assert values(near, "id") == [(3,), (4,), (5,)]
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,3)" in plan and "LessThanOrEqual(id,5)" in plan
+    assert tables.matching(stored, stored.limit(0), ["id"]).count() == 0
 
 
 def test_leading_zeros_stay(spark, tmp_path):
@@ -246,7 +323,7 @@ def test_site_load_numbers_on_and_keeps_sites_apart(spark):
         ("south", 3, "Enrolled", 1, 2),
     ]
     assert spark.read.parquet(f"{store}/sale").groupBy("site").count().where("count = 1").count() == 2
-    assert spark.read.parquet(f"{store}/cust").where(F.col("id") == 1).count() == 2
+    assert versions.current_sites(spark, f"{store}/cust").where(F.col("id") == 1).count() == 2
 
 
 def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
