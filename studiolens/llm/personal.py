@@ -42,10 +42,16 @@ _PATTERNS = {
 _NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
-# Words on either side of a value that count as near, and characters looked at for them.
+# Words on either side of a value that count as near, up to the next value of its kind.
 NEAR = 5
-_REACH = 200
-_LETTER = r"A-Za-z\x{80}-\x{10FFFF}"
+_LETTER = r"\p{L}\p{M}"
+# Words of a gap between values; one that touches the value is a part of a word and left out.
+_LEFT_WORD = f"(?<![{_LETTER}])[{_LETTER}]{{3,}}+(?=[^{_LETTER}])"
+_RIGHT_WORD = f"(?<=[^{_LETTER}])[{_LETTER}]{{3,}}+"
+
+# Matches whose places are summed by one fold. A fold copies what it has found with each match, so
+# blocks are folded one by one, from where they start.
+_BLOCK = 256
 
 # The share of an entity's information content that makes a term disclosing, and the documents
 # without evidence that are added to those that hold the term.
@@ -53,31 +59,70 @@ DISCLOSURE = 0.9
 PRIOR = 0.25
 
 
-_FOUND = "array<struct<at:int,end:int,value:string,left:string>>"
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
-def located(text: Column, pattern: Column) -> Column:
-    """Matches as structs of ``at``, ``end``, ``value`` and what is next to it, ``left`` and ``right``."""
-    values = F.regexp_extract_all(text, pattern, F.lit(0))
-    between = F.split(text, pattern, -1)
-    parts = F.zip_with(
-        F.slice(between, 1, F.size(values)),
-        values,
-        lambda gap, value: F.struct(gap.alias("gap"), value.alias("value")),
-    )
-    nothing = F.array().cast(_FOUND)
+def located(text: Column, pattern: Column, context: bool = False) -> Column:
+    """Matches as structs of ``at``, ``end``, ``value``; with ``context`` also the texts ``left`` and
+    ``right`` of them, up to the next match. Takes time in proportion to text and matches."""
+
+    def parts_of(cut: Column) -> Column:
+        n = F.size(cut["values"])
+        parts = F.zip_with(
+            F.slice(cut["between"], 1, n),
+            cut["values"],
+            lambda left, value: F.struct(left.alias("left"), value.alias("value")),
+        )
+        if not context:
+            return parts
+        rights = F.slice(cut["between"], 2, n)
+        return F.zip_with(parts, rights, lambda part, right: part.withField("right", right))
+
+    def blocks_of(parts: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(parts) / _BLOCK).cast("int") - 1, F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(parts, i * _BLOCK + 1, _BLOCK))
+
+    def length(part: Column) -> Column:
+        return F.length(part["left"]) + F.length(part["value"])
+
+    def starts_of(blocks: Column) -> Column:
+        sizes = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda n, part: n + length(part)))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        return F.aggregate(
+            sizes,
+            start,
+            lambda state, size: F.struct(
+                (state["at"] + size).alias("at"),
+                F.concat(state["starts"], F.array(state["at"])).alias("starts"),
+            ),
+        )["starts"]
+
+    names = ["value", "left", "right"] if context else ["value"]
+    kind = "array<struct<at:int,end:int," + ",".join(f"{n}:string" for n in names) + ">>"
 
     def step(state: Column, part: Column) -> Column:
-        at = state["at"] + F.length(part["gap"])
+        at = state["at"] + F.length(part["left"])
         end = at + F.length(part["value"])
-        left = F.substring(part["gap"], -_REACH, _REACH)
-        one = F.struct(at.alias("at"), end.alias("end"), part["value"].alias("value"), left.alias("left"))
+        one = F.struct(at.alias("at"), end.alias("end"), *[part[n].alias(n) for n in names])
         return F.struct(end.alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
 
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("found"))
-    found = F.aggregate(parts, start, step)["found"]
-    rights = F.transform(F.slice(between, 2, F.size(values)), lambda gap: F.substring(gap, 1, _REACH))
-    return F.zip_with(found, rights, lambda one, right: one.withField("right", right))
+    def placed(blocks: Column) -> Column:
+        def one(starts: Column) -> Column:
+            def fold(block: Column, i: Column) -> Column:
+                start = F.struct(F.get(starts, i).alias("at"), F.array().cast(kind).alias("found"))
+                return F.aggregate(block, start, step)["found"]
+
+            return F.flatten(F.transform(blocks, fold))
+
+        return _let(starts_of(blocks), one)
+
+    cut = F.struct(
+        F.regexp_extract_all(text, pattern, F.lit(0)).alias("values"),
+        F.split(text, pattern, -1).alias("between"),
+    )
+    return _let(_let(_let(cut, parts_of), blocks_of), placed)
 
 
 def _luhn(digits: Column) -> Column:
@@ -100,20 +145,26 @@ def _passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-_SPANS = "array<struct<kind:string,at:int,end:int,value:string,left:string,right:string>>"
+_SPANS = "array<struct<kind:string,at:int,end:int,value:string,near:array<string>>>"
 
 
 def _spans_of(kind: str, text: Column) -> Column:
+    def words(gap: Column, pattern: str) -> Column:
+        return F.regexp_extract_all(ascii_lower(gap), F.lit(pattern), F.lit(0))
+
     def named(found: Column) -> Column:
-        rest = [found[c].alias(c) for c in ("at", "end", "value", "left", "right")]
-        return F.struct(F.lit(kind).alias("kind"), *rest)
+        before = F.slice(F.reverse(words(found["left"], _LEFT_WORD)), 1, NEAR)
+        after = F.slice(words(found["right"], _RIGHT_WORD), 1, NEAR)
+        near = F.array_distinct(F.concat(before, after))
+        rest = [found[c].alias(c) for c in ("at", "end", "value")]
+        return F.struct(F.lit(kind).alias("kind"), *rest, near.alias("near"))
 
-    found = F.filter(located(text, F.lit(_PATTERNS[kind])), lambda x: _passes(kind, x["value"]))
+    found = F.filter(located(text, F.lit(_PATTERNS[kind]), context=True), lambda x: _passes(kind, x["value"]))
     return F.when(text.rlike(_NEEDS[kind]), F.transform(found, named)).otherwise(F.array().cast(_SPANS))
 
 
 def base_spans(text: Column) -> Column:
-    """All base spans as structs of ``kind``, ``at``, ``end``, ``value``, ``left``, ``right``."""
+    """All base spans as structs of ``kind``, ``at``, ``end``, ``value`` and the terms ``near``."""
     return F.concat(*[_spans_of(kind, text) for kind in KINDS])
 
 
@@ -136,13 +187,7 @@ def disclosing(found: DataFrame, docs: DataFrame, share: float, prior: float) ->
     """Terms that disclose an entity; ``found`` has ``h`` (of the text) and its base ``spans``."""
     near = (
         found.select("h", F.explode("spans").alias("span"))
-        .select(
-            "h",
-            _entity(F.col("span")).alias("entity"),
-            F.slice(F.reverse(_terms(F.col("span.left"))), 1, NEAR).alias("before"),
-            F.slice(_terms(F.col("span.right")), 1, NEAR).alias("after"),
-        )
-        .select("h", "entity", F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"))
+        .select("h", _entity(F.col("span")).alias("entity"), F.explode("span.near").alias("term"))
         .distinct()
     )
     texts = docs.select(F.xxhash64("text").alias("h")).distinct().count()
@@ -216,7 +261,7 @@ def with_spans(docs: DataFrame, share: float = DISCLOSURE, prior: float = PRIOR)
         found.withColumn("__key", key)
         .join(places, F.col("__key") == F.col("__key_"), "left")
         .withColumn("term_spans", outside)
-        .withColumn("spans", F.transform("spans", lambda s: s.dropFields("left", "right")))
+        .withColumn("spans", F.transform("spans", lambda s: s.dropFields("near")))
         .drop("__key", "__key_", "__places", "__h")
     )
 

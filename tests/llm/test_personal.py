@@ -1,4 +1,5 @@
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -96,6 +97,43 @@ def test_rare_entities_with_production_parameters(documents):
     assert found == want
 
 
+def near(text, kind, at, end):
+    """Five words on either side of a value, up to other matches of its pattern."""
+    matches = [(m.start(), m.end()) for m in re.finditer(PLAIN[kind], text)]
+    i = matches.index((at, end))
+    low = matches[i - 1][1] if i else 0
+    high = matches[i + 1][0] if i + 1 < len(matches) else len(text)
+    words = [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W\d_]{3,}", text)]
+    before = [w for a, b, w in words if low <= a and b < at][-5:]
+    after = [w for a, b, w in words if end < a and b <= high][:5]
+    return {*before, *after}
+
+
+def test_words_near_values(spark):
+    gap = " far " * 100
+    texts = [
+        "one two three four five six seven a@b.c, eight nine ten eleven twelve thirteen xa@b.cy zwölf",
+        f"Quill {gap[:4]}{' ' * 500}a@b.c{' ' * 900}Ombre {'1' * 300} after",
+        "abc@b.c.日本語 is 日本語 here", "a@b.c", "wordé@x.y é",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in df.select("text", personal.base_spans(F.col("text")).alias("spans")).collect():
+        assert [(s.kind, s.at, s.end) for s in row.spans] == plain(row.text)
+        for s in row.spans:
+            assert set(s.near) == near(row.text, s.kind, s.at, s.end), (row.text, s)
+
+
+def test_many_matches_in_one_text(spark):
+    """Time grows with the matches, not with their square; blocks are put together rightly."""
+    texts = ["person%d@site.org, " * n % tuple(range(n)) for n in (0, 1, 255, 256, 257, 1000, 60_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(1)
+    begin = time.monotonic()
+    rows = df.select("text", F.transform(personal.base_spans(F.col("text")), lambda s: F.struct(s["at"], s["end"])).alias("spans")).collect()
+    assert time.monotonic() - begin < 60
+    for row in rows:
+        assert [(a, b) for a, b in row.spans] == [(a, b) for _, a, b in plain(row.text)]
+
+
 def test_empty_table(documents):
     none = documents("x").limit(0)
     assert personal.with_spans(none).count() == 0
