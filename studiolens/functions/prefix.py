@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 # Rows of one key that a task may order by itself. A key counts as large beyond it.
 TASK_ROWS = 1_000_000
 
-# The set of large keys is broadcast. However many rows there are, it has at most this many: a
-# key must also hold more than this part of all rows, and no more keys than this can.
+# The set of large keys is broadcast. However many rows there are, it has the largest ones, at
+# most this many; any other key holds less than this part of all rows and is one partition.
 MOST_LARGE = 100_000
 
 # Stands for a missing time in bucket columns only; NULL times sort first, as it does.
@@ -106,8 +106,8 @@ def prefix_before(
     counts = (df if same_rows is None else same_rows).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n")
     )
-    part_of_all = counts.agg(F.sum("__n") / MOST_LARGE).scalar()
-    large = counts.where((F.col("__n") > task_rows) & (F.col("__n") > part_of_all)).select(*keys)
+    large = counts.where(F.col("__n") > task_rows).orderBy(F.desc("__n"), *keys)
+    large = large.limit(MOST_LARGE).select(*keys)
 
     def before(bucketed: DataFrame, partition: list[str], ordering: list[str]) -> DataFrame:
         """Add what comes before each row or bucket within the bucket around it."""

@@ -195,7 +195,7 @@ def test_the_set_of_large_keys_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(prefix, "MOST_LARGE", 3)
     got = running.with_ride_number(df, task_rows=0)
     assert {r.id: r.num for r in got.collect()} == {i: n for i, (n, _) in _loop(df.collect()).items()}
-    assert "/ 3" in got._jdf.queryExecution().analyzed().toString()
+    assert "GlobalLimit 3" in got._jdf.queryExecution().analyzed().toString()
 
 
 def test_last_or_upcoming_keeps_copies_and_skips_those_that_come(spark):
