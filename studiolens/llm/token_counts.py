@@ -1,21 +1,30 @@
 """Token counts of whole texts; huge texts are counted in overlapping chunks.
 
-A huge text is cut into chunks that overlap. Each chunk is encoded with the offsets of its
-tokens, and neighbours are spliced at a boundary both agree on. That a boundary is stable is
-proven by the vocabulary: the encoder turns a blank into a mark, and if no piece has the mark after
-another character, no merge can reach across "other character, blank", so what is left and
-right of it is encoded as if it stood alone. A splice is the first such place at or after the
-nominal cut. If the overlap has none, it is widened until it has one or the text ends. Chunks are
-dealt out over the cluster, so a single text of any length is counted in parallel.
+A huge text is cut into chunks that overlap, which are dealt out over the cluster and encoded with
+the offsets of their tokens. Neighbours are spliced at the first token that both have in their
+overlap. That this boundary is stable is a property of the encoder: it merges the best pair of
+neighbouring symbols as long as there is one, so a row of tokens is the encoding of its text
+exactly if each two neighbours are the encoding of theirs (the first merge across a boundary would
+also be made in those two alone). Up to the common token neighbours are such a pair in the one
+chunk, from it on in the other, so the spliced row is the encoding of both chunks together. Each
+chunk but the first is encoded behind a character that is in no piece, so that no blank is put
+before it. No kind of character is needed for a splice: texts without blanks are cut like others.
+
+Two chunks may have no token in common, as in a long run of one letter. Such a text is
+counted in order instead: the next chunk begins at a token of the one before, and where even
+that gives no common token, chunks and overlaps are widened until they align or hold the text.
 
 Defined cases: a null or empty text has 0 tokens; repeated rows are counted each; an empty
 table gives no rows. Columns of the input are kept, those named in :data:`ADDED` are replaced.
+With a model that is not of this kind (:func:`aligns`) texts are encoded whole.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,23 +33,30 @@ MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
 ADDED = ("n_bytes", "n_tokens", "over_limit")
 
-# A text with more characters than this is huge. Chunks have that many, without overlap.
+# A text with more characters than this is huge. Chunks have that many, and the overlap.
 CHUNK = 32_768
 OVERLAP = 256
 
 # Texts encoded by one call.
 _BATCH = 64
 
-MARK = "▁"
+# In no piece, so nothing is merged with it.
+FENCE = "\n"
+
+# Kinds of pieces that depend on no more than their characters: normal, unknown, control, byte.
+_PLAIN = {1, 2, 3, 6}
+_MERGES = 2
 
 _PIECE = pa.schema(
-    [("key", pa.string()), ("k", pa.int64()), ("skip", pa.int64()), ("last", pa.bool_()), ("size", pa.int64()), ("piece", pa.string())]
+    [("key", pa.string()), ("k", pa.int64()), ("size", pa.int64()), ("last", pa.bool_()), ("piece", pa.string())]
+)
+_SEAM = pa.schema(
+    [("key", pa.string()), ("seam", pa.int64()), ("n", pa.int64()), ("left", pa.binary()), ("right", pa.binary())]
 )
-_COUNT = pa.schema([("key", pa.string()), ("n", pa.int64())])
 
 
 def _ddl(schema: pa.Schema) -> str:
-    kinds = {pa.string(): "string", pa.int64(): "long", pa.bool_(): "boolean"}
+    kinds = {pa.string(): "string", pa.int64(): "long", pa.bool_(): "boolean", pa.binary(): "binary"}
     return ", ".join(f"{field.name} {kinds[field.type]}" for field in schema)
 
 
@@ -57,52 +73,93 @@ def load(model: str):
     return sentencepiece.SentencePieceProcessor(model_file=model)
 
 
-def splits_at_blanks(encoder) -> bool:
-    """Whether no piece goes across "other character, blank"."""
-    pieces = (encoder.id_to_piece(i) for i in range(encoder.vocab_size()))
-    return not any(MARK in piece.lstrip(MARK) for piece in pieces)
-
-
-def splice(text: str, at: int) -> int:
-    """The first stable boundary at or after ``at``: a blank that follows another character."""
-    while 0 < at < len(text):
-        at = text.find(" ", at)
-        if at < 0:
-            break
-        if text[at - 1] not in (" ", MARK):
-            return at
-        at += 1
-    return 0 if at == 0 else len(text)
-
-
-def chunks_of(text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[tuple[int, int, bool, str]]:
-    """(number, skip, last, piece): ``skip`` characters of a piece come before its nominal cut.
-
-    A piece begins one character before its cut, as a boundary is told by the character before
-    it, and ends with the overlap, which holds the next splice.
-    """
-    for k, start in enumerate(range(0, len(text), chunk)):
-        stop, width = start + chunk, overlap
-        while stop + width < len(text):
-            piece = text[stop - 1 : stop + width]
-            if splice(piece, 1) < len(piece):
-                break
-            width *= 2
-        begin = max(0, start - 1)
-        yield k, start - begin, stop >= len(text), text[begin : stop + width]
-
-
-def count_piece(encoder, piece: str, skip: int, first: bool, last: bool, chunk: int = CHUNK) -> int:
-    """Tokens of a piece that begin from its own splice up to that of its successor."""
-    begin = 0 if first else splice(piece, skip)
-    end = len(piece) if last else splice(piece, skip + chunk)
-    if begin >= end:
-        return 0
-    low, high = len(piece[:begin].encode()), len(piece[:end].encode())
-    begins = [token.begin for token in encoder.encode(piece, return_type="proto").pieces]
-    if not {low, high} <= {0, len(piece.encode()), *begins}:
-        raise ValueError("a token reaches across a boundary that the vocabulary rules out")
-    return sum(low <= b < high for b in begins)
+def aligns(encoder) -> bool:
+    """Whether encodings can be spliced at a common token: merges only, texts taken as they are."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(encoder.serialized_model_proto())
+    rules, trained = model.normalizer_spec, model.trainer_spec
+    as_it_is = not rules.precompiled_charsmap and not rules.remove_extra_whitespaces
+    merges = trained.model_type == _MERGES and trained.byte_fallback
+    return as_it_is and merges and all(p.type in _PLAIN and FENCE not in p.piece for p in model.pieces)
+
+
+def chunks_of(text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[tuple[int, bool, str]]:
+    """(number, last, piece); a piece goes on into its successor by the overlap."""
+    for k in itertools.count():
+        stop = (k + 1) * chunk + overlap
+        yield k, stop >= len(text), text[k * chunk : stop]
+        if stop >= len(text):
+            return
+
+
+def spans(encoder, piece: str, first: bool) -> np.ndarray:
+    """Begin and end of each token in bytes. The bytes of a character without a piece begin
+    together, and only the last of them has an end beyond its begin."""
+    fence = "" if first else FENCE
+    tokens = encoder.encode(fence + piece, return_type="proto").pieces
+    places = np.array([(t.begin, t.end) for t in tokens], np.int64).reshape(-1, 2) - len(fence)
+    return places[places[:, 0] >= 0]
+
+
+def common(left: np.ndarray, right: np.ndarray) -> int | None:
+    """Where the first token begins that two encodings have both, None if there is none."""
+    whole = [side[side[:, 0] < side[:, 1]] for side in (left, right)]
+    one, other = ((side[:, 0] << 32) | side[:, 1] for side in whole)
+    both = np.intersect1d(one, other)
+    return int(both[0] >> 32) if len(both) else None
+
+
+def surplus(left: bytes, right: bytes) -> int | None:
+    """Tokens around a cut that are counted but not in the spliced row: those of the left chunk
+    from the splice on, and those of the right one before it."""
+    sides = [np.frombuffer(side, np.int64).reshape(-1, 2) for side in (left, right)]
+    at = common(*sides)
+    if at is None:
+        return None
+    return int((sides[0][:, 0] >= at).sum() + (sides[1][:, 0] < at).sum())
+
+
+def seams_of(encoder, k: int, last: bool, piece: str, chunk: int, overlap: int) -> Iterator[tuple]:
+    """(seam, tokens, left, right): the tokens of a piece, and those near its cuts, from the cut on."""
+    tokens = spans(encoder, piece, k == 0)
+    until = len(piece[:overlap].encode())
+    yield k, len(tokens), None, tokens[tokens[:, 0] < until].tobytes() if k else None
+    if not last:
+        cut = len(piece[:chunk].encode())
+        yield k + 1, 0, (tokens[tokens[:, 0] >= cut] - cut).tobytes(), None
+
+
+def count_in_order(encoder, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
+    """Tokens of a text, chunk after chunk; chunks are widened where they do not align."""
+    while chunk + overlap < len(text):
+        total = _in_order(encoder, text, chunk, overlap)
+        if total is not None:
+            return total
+        chunk, overlap = 2 * chunk, 2 * overlap
+    return len(encoder.encode(text))
+
+
+def _in_order(encoder, text: str, chunk: int, overlap: int) -> int | None:
+    start = total = counted = 0
+    piece = text[: chunk + overlap]
+    tokens = spans(encoder, piece, True)
+    while start + len(piece) < len(text):
+        cut = len(piece[:chunk].encode())
+        tail = tokens[np.searchsorted(tokens[:, 0], cut) :]
+        if not len(tail):
+            return None
+        at = int(tail[0, 0])
+        start += len(piece.encode()[:at].decode())
+        piece = text[start : start + chunk + overlap]
+        following = spans(encoder, piece, False)
+        splice = common(tail - at, following)
+        if splice is None:
+            return None
+        total += int(((tokens[:, 0] >= counted) & (tokens[:, 0] < at + splice)).sum())
+        tokens, counted = following, splice
+    return total + int((tokens[:, 0] >= counted).sum())
 
 
 def with_token_counts(
@@ -121,37 +178,64 @@ def with_token_counts(
             yield pa.array(numbers, pa.int64())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = not splits_at_blanks(load(model))
+        parts = aligns(load(model))
         for batch in batches:
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                size = len(text) if whole else chunk
-                for k, skip, last, piece in chunks_of(text, size, overlap):
-                    row = {"key": key, "k": k, "skip": skip, "last": last, "size": size, "piece": piece}
+                size = chunk if parts else len(text)
+                for k, last, piece in chunks_of(text, size, overlap):
+                    row = {"key": key, "k": k, "size": size, "last": last, "piece": piece}
                     yield pa.RecordBatch.from_pylist([row], schema=_PIECE)
 
-    def count_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load(model)
         for batch in batches:
-            rows = batch.to_pylist()
-            numbers = [
-                count_piece(encoder, r["piece"], r["skip"], r["k"] == 0, r["last"], r["size"]) for r in rows
-            ]
-            yield pa.RecordBatch.from_pydict({"key": [r["key"] for r in rows], "n": numbers}, schema=_COUNT)
+            for r in batch.to_pylist():
+                found = seams_of(encoder, r["k"], r["last"], r["piece"], r["size"], overlap)
+                rows = [dict(zip(_SEAM.names, (r["key"], *seam), strict=True)) for seam in found]
+                yield pa.RecordBatch.from_pylist(rows, schema=_SEAM)
+
+    @F.arrow_udf("long")
+    def splice(left: pa.Array, right: pa.Array) -> pa.Array:
+        sides = zip(left.to_pylist(), right.to_pylist(), strict=True)
+        return pa.array([0 if a is None or b is None else surplus(a, b) for a, b in sides], pa.int64())
+
+    @F.arrow_udf("long")
+    def in_order(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        encoder = load(model)
+        known: dict[str, int] = {}
+        for keys, texts in columns:
+            numbers = []
+            for key, text in zip(keys.to_pylist(), texts, strict=True):
+                if text.is_valid and key not in known:
+                    known[key] = count_in_order(encoder, text.as_py(), chunk, overlap)
+                numbers.append(known.get(key))
+            yield pa.array(numbers, pa.int64())
 
     docs = docs.drop(*ADDED)
     is_huge = F.length(F.coalesce("text", F.lit(""))) > chunk
     plain = docs.where(~is_huge).withColumn("n_tokens", count("text"))
 
-    # Each different huge text is counted once; its chunks are dealt out by number.
+    # Each different huge text is counted once; its chunks are dealt out by number. A count is
+    # NULL if one of its seams has no common token.
     huge = docs.where(is_huge).withColumn("__key", F.sha2("text", 256))
     pieces = huge.select("__key", "text").dropDuplicates(["__key"]).mapInArrow(cut, _ddl(_PIECE))
-    counts = (
+    seams = (
         pieces.repartition("key", "k")
-        .mapInArrow(count_pieces, _ddl(_COUNT))
-        .groupBy(F.col("key").alias("__key"))
-        .agg(F.sum("n").alias("n_tokens"))
+        .mapInArrow(encode, _ddl(_SEAM))
+        .groupBy("key", "seam")
+        .agg(*[F.max(c).alias(c) for c in ("n", "left", "right")])
+        .select("key", "n", splice("left", "right").alias("surplus"))
+    )
+    open_seams = F.count(F.when(F.col("surplus").isNull(), 1))
+    counts = seams.groupBy(F.col("key").alias("__key")).agg(
+        F.when(open_seams == 0, F.sum("n") - F.sum("surplus")).alias("__n")
+    )
+    left_over = F.when(F.col("__n").isNull(), F.col("text"))
+    spliced = (
+        huge.join(counts, "__key")
+        .withColumn("n_tokens", F.coalesce("__n", in_order("__key", left_over)))
+        .drop("__key", "__n")
     )
-    spliced = huge.join(counts, "__key").drop("__key")
     return plain.unionByName(spliced).withColumns(
         {
             "n_bytes": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"),
