@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from studiolens import schema
 from studiolens.operators import running
 from studiolens.session import remove_dir, work_dir
-from studiolens.sources import exports, tables, versions
+from studiolens.sources import exports, kept, tables, versions
 
 
 @dataclass(frozen=True)
@@ -30,6 +30,8 @@ def load_attendance(
 
     Right when loads move forward in time, as each daily export does. A row without a
     customer is refused, and with it the export. The batch is parsed once, before anything changes.
+    Ids are looked up by the ranges, and numbers go on from the counters that are kept with the
+    table, so such a load reads the days it touches and those after them (``sources.kept``).
     """
     tables.recover(spark, path)
     folder = work_dir(spark, "attendance")
@@ -37,12 +39,16 @@ def load_attendance(
     incoming.withColumn("custid", F.coalesce("custid", missing)).write.parquet(folder)
     incoming = spark.read.schema(incoming.schema).parquet(folder)
     stored = tables.stored_rows(spark, path)
+    dated = incoming.withColumn(tables.PART, tables.part_of(F.col("classdate"), grain))
+    near = kept.near_parts(spark, path, stored, dated, "id")
     if stored is not None:
-        stored = stored.select("id", "custid", "num", "totnum").join(
-            incoming.select("id").distinct(), "id", "left_anti"
+        touched = tables.touched_parts(stored, dated, ["id"], "classdate", near)
+        ids = incoming.select("id").distinct()
+        stored = kept.counts_without(
+            spark, path, stored, touched, ids, "custid", ["num", "totnum"]
         )
     counted = running.with_both_numbers(incoming, stored)
-    tables.upsert_at(spark, path, counted, ["id"], "classdate", grain=grain)
+    tables.upsert_at(spark, path, counted, ["id"], "classdate", grain=grain, near=near)
     remove_dir(spark, folder)
 
 

@@ -63,6 +63,9 @@ PART = "part_day"
 # The partition of rows without a time. It may hold rows of this day, too.
 NO_DAY = dt.date(1900, 1, 1)
 
+# Side tables of a load that keeps them (``kept``), hidden from readers.
+RANGES, COUNTERS = "_ranges", "_counters"
+
 
 def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at a path, None before its first load."""
@@ -74,7 +77,7 @@ def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _part(column: Column, grain: str) -> Column:
+def part_of(column: Column, grain: str) -> Column:
     """The partition of a time: its day, or the first day of its month; never NULL."""
     return F.coalesce(F.to_date(F.date_trunc(grain, column)), F.lit(NO_DAY))
 
@@ -96,8 +99,11 @@ def _begin(spark: SparkSession, path: str, incoming: DataFrame, note: dict) -> s
     """
     recover(spark, path)
     load = uuid.uuid4().hex
+    if note.get("near") is None:
+        for side in {RANGES, COUNTERS}.intersection(children(spark, path)):
+            remove_dir(spark, f"{path}/{side}")
     try:
-        rows = incoming.withColumn(PART, _part(F.col(note["ts"]), note["grain"]))
+        rows = incoming.withColumn(PART, part_of(F.col(note["ts"]), note["grain"]))
         rows.write.parquet(f"{path}/{_BATCH}{load}")
     except Exception:
         remove_dir(spark, f"{path}/{_BATCH}{load}")
@@ -118,7 +124,7 @@ def _finish(spark: SparkSession, path: str, load: str) -> None:
     note = json.loads(read_text(spark, f"{path}/{_NOTE}{load}"))
     incoming = spark.read.parquet(f"{path}/{_BATCH}{load}")
     if note["keys"]:
-        _upsert_parts(spark, path, incoming, note["keys"], note["ts"])
+        _upsert_parts(spark, path, incoming, note["keys"], note["ts"], note.get("near"))
     else:
         _replace_parts(spark, path, incoming, note["ts"], note["grain"], note["untimed"])
     for kind in (_READY, _NOTE, _BATCH):
@@ -190,7 +196,7 @@ def _replace_parts(
         part, time = F.col(PART), F.col(ts)
         within, kept = F.lit(False), time.isNull()
         if first is not None:
-            within = part.between(*[_part(F.lit(edge), grain) for edge in (first, last)])
+            within = part.between(*[part_of(F.lit(edge), grain) for edge in (first, last)])
             kept = kept | (time < F.lit(first)) | (time > F.lit(last))
         if NO_DAY in touched:
             within = within | (part == F.lit(NO_DAY))
@@ -206,12 +212,14 @@ def upsert_at(
     ts: str,
     latest_by: str | None = None,
     grain: str = "day",
+    near: list[dt.date] | None = None,
 ) -> None:
     """Key upsert on a partitioned table; rewrites the partitions that hold a matching key
-    or receive a row."""
+    or receive a row. ``near`` are the partitions that may hold one, if side tables are kept."""
     if latest_by:
         incoming = newest_per_key(incoming, keys, latest_by)
-    note = {"ts": ts, "grain": grain, "keys": keys}
+    days = None if near is None else [day.isoformat() for day in near]
+    note = {"ts": ts, "grain": grain, "keys": keys, "near": days}
     _finish(spark, path, _begin(spark, path, incoming, note))
 
 
@@ -227,19 +235,39 @@ def matching(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFra
     return stored.where(F.col(keys[0]).between(F.lit(first), F.lit(last)))
 
 
+def touched_parts(
+    stored: DataFrame,
+    incoming: DataFrame,
+    keys: list[str],
+    ts: str,
+    near: list[dt.date] | None = None,
+) -> set[dt.date]:
+    """Partitions that receive a row of a batch or hold a stored row with one of its keys."""
+    touched = _parts_in(incoming)
+    if ts not in keys:
+        # The stored row of a key may lie in another partition than the new one.
+        found = matching(stored.select(PART, *keys), incoming, keys)
+        if near is not None:
+            found = found.where(F.col(PART).isin(near))
+        touched |= _parts_in(found.join(incoming.select(*keys).distinct(), keys, "left_semi"))
+    return touched
+
+
 def _upsert_parts(
-    spark: SparkSession, path: str, incoming: DataFrame, keys: list[str], ts: str
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    keys: list[str],
+    ts: str,
+    near: list[str] | None,
 ) -> None:
     stored = stored_rows(spark, path)
     if stored is None:
         _swap_parts(spark, path, None, incoming, set())
         return
+    days = None if near is None else [dt.date.fromisoformat(day) for day in near]
+    touched = touched_parts(stored, incoming, keys, ts, days)
     ids = incoming.select(*keys).distinct()
-    touched = _parts_in(incoming)
-    if ts not in keys:
-        # The stored row of a key may lie in another partition than the new one.
-        near = matching(stored.select(PART, *keys), incoming, keys)
-        touched |= _parts_in(near.join(ids, keys, "left_semi"))
     kept = stored.where(F.col(PART).isin(sorted(touched))).join(ids, keys, "left_anti")
     _swap_parts(spark, path, kept.select(*stored.columns), incoming, touched)
 
@@ -251,7 +279,7 @@ def stored_in_days_of(
     stored = stored_rows(spark, path)
     if stored is None:
         return None
-    parts = _parts_in(batch.select(_part(F.col(ts), grain).alias(PART)))
+    parts = _parts_in(batch.select(part_of(F.col(ts), grain).alias(PART)))
     return stored.where(F.col(PART).isin(sorted(parts))).drop(PART)
 
 
