@@ -10,6 +10,8 @@ close, never pairs. One vector of each component is kept.
 
 On vectors without any structure the bound keeps most visits, and the work is that of an
 exact comparison in blocks; on vectors that gather around centroids it is that within cells.
+There are at most :data:`MOST_CELLS` cells, so beyond some 500,000 vectors of a label cells, and the
+blocks each vector is sent to, grow with the data; the result does not depend on it.
 
 Defined cases: a vector that is null, empty, zero, or holds a null or a number that is not
 finite, and one without label, links with nothing and is its own component; vectors of different length do

@@ -1,11 +1,11 @@
 """Remove long byte strings that occur more than once.
 
-The method is that of suffix sorting by a difference cover: names for sampled places are
-sorted, the names of longer strings are built on those of shorter ones, and equal neighbours in
-sorted order decide about the rest. The cover is a perfect difference set modulo 133: for
-any two places i and j there is one distance below 133 at which both i and j plus the distance
-are sampled, with a twelfth of the names a cover modulo 3 would need. Only strings of ``LENGTH`` bytes
-have to be told apart, so the recursion ends after three steps:
+The places are those of a difference cover, a perfect difference set modulo 133: for any two places i
+and j there is one distance below 133 at which both i and j plus the distance are sampled, with
+a twelfth of the names a cover modulo 3 would need. What follows is not the sort of triples with its
+recursion: no order of suffixes is built, and no names are made from names. Only strings of ``LENGTH`` bytes
+have to be told apart, so three steps give hashes to strings at these places, sort the hashes
+and compare neighbours for equality; bytes themselves are not compared:
 
 1. Equal texts are found by their digest; but for one of each, copies take no part in the rest.
 2. Sampled places get the name of their next 68 bytes. If a 200-byte string occurs twice, then at some
