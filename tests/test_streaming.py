@@ -1,11 +1,14 @@
 """Streams over several batches against the batch operators."""
 
+import random
 import time
 from functools import reduce
 
+import numpy as np
 import pytest
 from frames import attend, ts, values
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from test_alerts import KNOWN, samples
 
 from studiolens.operators import alerts, occupancy, running
@@ -159,3 +162,70 @@ def test_late_polls_are_marked_and_kept(spark, stream):
     polls.keep_latest(stream(*parts), f"{home}/occ", f"{home}/check", late_out=f"{home}/late").awaitTermination()
     assert values(tables.read_table(spark, f"{home}/occ"), "dt", "unavail") == [(ts(first), 4), (ts(later), 3)]
     assert values(spark.read.parquet(f"{home}/late"), "unavail") == [(4,), (5,)]
+
+
+def _frames(rows, size, *names):
+    for i in range(0, len(rows), size):
+        yield {n: np.array([r[k] for r in rows[i : i + size]]) for k, n in enumerate(names)}
+
+
+class _State:
+    """What the step functions use of a state."""
+
+    def __init__(self, *value):
+        self.get, self.exists = value, bool(value)
+
+    def getCurrentWatermarkMs(self):
+        return 0
+
+    def update(self, value):
+        self.get, self.exists = value, True
+
+
+def test_a_run_needs_no_order_and_holds_no_samples_before_a_success():
+    """Samples of a batch, shuffled, in frames of any size, against the same in order."""
+    chance = random.Random(7)
+    for _ in range(200):
+        rows = [(chance.randrange(5, 15), i, chance.choice([0, 1, 1, 1, -1])) for i in range(chance.randrange(1, 30))]
+        state, old = _State(2, 3, 4), 2
+        for row in sorted(rows):
+            old = 0 if row[2] == 0 else old + 1
+        chance.shuffle(rows)
+        assert sum(len(f["late"]) for f in outages.carry_run(_frames(rows, 4, "__at", "__id", "__down"), state)) == len(rows)
+        last = max(rows)
+        assert state.get == (old if last[2] == 1 else 0, last[1], last[0])
+    run = outages._Run(0, (0, 0))
+    for at in range(1, 1000):
+        run.add(np.arange(at * 10, at * 10 + 10), np.arange(10), np.array([1, 0] * 5))
+        assert not run.after
+
+
+def test_counts_pass_frame_by_frame():
+    """A frame goes out before the next one is asked for, so no task holds a customer's rows."""
+    seen = []
+
+    def frames():
+        for part in _frames([(i, 1) for i in range(100, 0, -1)], 10, "__at", "__one"):
+            seen.append(len(part["__at"]))
+            yield part
+
+    state = _State(5, 50)
+    for n, out in enumerate(rides.carry_count(frames(), state), 1):
+        assert len(seen) == n and set(out["__before"]) == {5}
+    assert state.get == (56, 100)
+
+
+def test_only_few_columns_reach_the_state_of_a_customer(spark, tmp_path):
+    df = attend(spark, [(1, 1, "Enrolled", "2024-01-05 06:00:00")])
+    df.write.parquet(f"{tmp_path}/in")
+    got = rides.with_stored_count(files.parquet_stream(spark, f"{tmp_path}/in", df.schema))
+    plan = got._jdf.queryExecution().analyzed().toString()
+    below = plan[plan.index("FlatMapGroupsInPandasWithState") :].splitlines()[1]
+    assert "__row" in below and "firstname#" not in below.partition("to_json")[0]
+
+
+def test_a_hot_customer_of_a_batch_is_split(spark):
+    df = attend(spark, [(i, 1, "Enrolled", f"2024-01-{1 + i % 9:02d} 06:00:00") for i in range(60)])
+    batch = df.withColumn("__before", F.lit(7).cast("bigint")).withColumn("late", F.lit(False))
+    want = running.with_ride_number(df).withColumn("num", F.col("num") + 7)
+    assert values(rides.number_rows(batch, task_rows=10), "id", "num") == values(want, "id", "num")
