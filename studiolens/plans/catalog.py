@@ -683,12 +683,13 @@ def loaded_sites(spark: SparkSession, sf_dir: str, nights: list[tuple[Column, Co
             "sales": (roles.sale(spark, sf_dir).where(sold), home, schema.SALES),
             "attendance": (roles.attend_ev(spark, sf_dir).where(attended), home, schema.ATTENDANCE),
         }
+        places = {}
+        for name, (rows, at, table) in parts.items():
+            header = schema.ATTENDANCE_HEADER if name == "attendance" else None
+            folder = work_dir(spark, name)
+            places[name] = exports.write_site_exports(rows, at, [0, 1], folder, table, header)
         for site in (0, 1):
-            paths = {}
-            for name, (rows, at, table) in parts.items():
-                paths[name] = work_dir(spark, f"{name}-{site}")
-                header = schema.ATTENDANCE_HEADER if name == "attendance" else None
-                exports.write_export(rows.where(at == site), paths[name], table, header)
+            paths = {name: at[site] for name, at in places.items()}
             load.ingest(spark, f"site{site}", load.SiteFiles(**paths), store, grain="month")
     return store
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from studiolens.functions import clock
+from studiolens.session import children
 
 LINE_END = "\r"
 
@@ -63,6 +64,33 @@ def write_export(
 
     ``header`` gives other names to columns in the header row.
     """
+    _write_text(df.select(*_texts(df, schema)).withColumnsRenamed(header or {}), path)
+
+
+def write_site_exports(
+    df: DataFrame,
+    site: Column,
+    sites: list[int],
+    path: str,
+    schema: T.StructType,
+    header: dict[str, str] | None = None,
+) -> dict[int, str]:
+    """An export of each of ``sites`` below ``path``, all written in one pass over ``df``; where they lie.
+
+    Rows of another ``site`` are left out. A site without rows gets an export of its header.
+    """
+    spark, mark = df.sparkSession, "export_site"
+    rows = df.select(*_texts(df, schema), site.cast("int").alias(mark)).where(F.col(mark).isin(sites))
+    _write_text(rows.withColumnsRenamed(header or {}), path, mark)
+    written = children(spark, path)
+    places = {one: f"{path}/{mark}={one}" for one in sites}
+    for one, place in places.items():
+        if f"{mark}={one}" not in written:
+            write_export(spark.createDataFrame([], df.schema), place, schema, header)
+    return places
+
+
+def _texts(df: DataFrame, schema: T.StructType) -> list[Column]:
     columns = []
     for field in schema:
         if field.name not in df.columns:
@@ -72,10 +100,13 @@ def write_export(
             columns.append(F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(field.name))
         else:
             columns.append(F.col(field.name).cast("string").alias(field.name))
+    return columns
+
+
+def _write_text(rows: DataFrame, path: str, *parts: str) -> None:
     (
-        df.select(*columns)
-        .withColumnsRenamed(header or {})
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
+        .partitionBy(*parts)
         .option("header", True)
         .option("lineSep", LINE_END)
         .option("escape", '"')

@@ -343,3 +343,20 @@ def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_dir(Session(), "x")
+
+
+def test_exports_of_all_sites_come_from_one_pass(spark, tmp_path):
+    rows = [(1, 1, "Enrolled", "2024-01-05 06:00:00"), (2, 2, "Enrolled", None), (3, None, "Enrolled", None), (4, 3, "Cancelled", None)]
+    df = attend(spark, rows)
+    site, table = F.col("custid") % 2, schema.ATTENDANCE
+    for wanted, name in (([0, 1], "both"), ([0, 1, 7], "empty")):
+        places = exports.write_site_exports(df, site, wanted, f"{tmp_path}/{name}", table, schema.ATTENDANCE_HEADER)
+        assert list(places) == wanted
+        for one, place in places.items():
+            exports.write_export(df.where(site == one), f"{tmp_path}/{name}-{one}", table, schema.ATTENDANCE_HEADER)
+            got, want = (
+                exports.read_export(spark, p, table, required_header=schema.ATTENDANCE_HEADER)
+                for p in (place, f"{tmp_path}/{name}-{one}")
+            )
+            assert got.columns == want.columns
+            assert values(got, *want.columns) == values(want, *want.columns)
