@@ -22,14 +22,18 @@ places and counts, its length (uint32), magic.
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,8 +50,67 @@ BLOCK = 512
 # A file is closed after the document with which it reaches this many tokens.
 FILE_TOKENS = 8_000_000
 
-# Words of a task whose ids are kept, and the longest of them in bytes.
-_CACHED, _CACHED_LENGTH = 400_000, 64
+# Bytes of texts that are taken apart at a time; a word is never cut.
+_PART = 1 << 20
+
+# Bytes a task may use for the ids of pieces it has met, and those of a piece beside its text.
+_KEPT, _KEPT_EACH = 100_000_000, 200
+
+# Kinds of bytes: white space; letters, digits and signs of plain words; what only the library knows to split.
+_BLANK, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
+_KIND = np.full(256, _ODD, np.uint8)
+_KIND[ord("!") : ord("~") + 1] = _SIGN
+_KIND[ord("a") : ord("z") + 1] = _KIND[ord("A") : ord("Z") + 1] = _LETTER
+_KIND[ord("0") : ord("9") + 1] = _DIGIT
+# Contractions begin with the apostrophe.
+_KIND[ord("'")] = _ODD
+_KIND[[9, 10, 11, 12, 13, 32]] = _BLANK
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+
+
+def _split(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of the words in UTF-8 that begins and ends with white space.
+
+    Returns the places where they begin, whether each is a whole word as it stands instead of a piece of a plain
+    one in lower case, their bytes one after the other, and where each begins in these, with the end of the last.
+    """
+    kind, text = _KIND[raw], _LOWER[raw]
+    # Letters from U+00C0 to U+00FF are C3 and a byte from 80 on; 97 and B7 are signs.
+    first = np.flatnonzero(raw == 0xC3)
+    second = raw[first + 1]
+    letters = (second >= 0x80) & (second <= 0xBF) & (second != 0x97) & (second != 0xB7)
+    first, second = first[letters], second[letters]
+    kind[first] = kind[first + 1] = _LETTER
+    text[first[second <= 0x9E] + 1] += 32
+    # Special tokens begin so.
+    kind[:-1][(raw[:-1] == ord("<")) & (raw[1:] == ord("|"))] = _ODD
+
+    inside = kind != _BLANK
+    begins = np.empty(len(raw), bool)
+    begins[0] = False
+    np.not_equal(kind[1:], kind[:-1], out=begins[1:])
+    begins |= kind == _DIGIT
+    begins &= inside
+    odd = kind == _ODD
+    if odd.any():
+        words = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+        among = np.logical_or.reduceat(odd, words)
+        odd[: words[0]] = False
+        odd[words[0] :] = np.repeat(among, np.diff(words, append=len(raw)))
+        np.copyto(text, raw, where=odd)
+        begins &= ~odd
+        begins[words[among]] = True
+    places, text = np.flatnonzero(begins), text[inside]
+    return places, odd[places], text, np.append(np.flatnonzero(begins[inside]), len(text))
+
+
+def _values(column: pa.LargeBinaryArray) -> list[bytes]:
+    """Values of a column without nulls, which ``to_pylist`` makes one scalar at a time."""
+    _, bounds, text = column.buffers()
+    at = np.frombuffer(bounds, np.int64)[column.offset : column.offset + len(column) + 1].tolist()
+    data = text.to_pybytes() if text else b""
+    return [data[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
 class WordEncoder:
@@ -57,14 +120,15 @@ class WordEncoder:
     text are those of its words, one after the other. Of plain words it must take runs of letters, single digits
     and runs of anything else apart, in lower case; then the ids of such a word are those of these
     pieces. Both are tried on a probe, and texts are encoded whole by a tokenizer that does otherwise.
+
+    Plain words are of printable ASCII and letters up to U+00FF, without special tokens and the apostrophe. Such
+    a word has one form, and each letter one lower case. Other words are a piece each. Texts are split,
+    and the different pieces found, by column; only these are handled one by one.
     """
 
     _PROBE = "Àß,é! Ab,Cd 12;x\ny--(z) ..\t7a  END"
 
-    # Printable ASCII and letters up to U+00FF, without special tokens and the apostrophe, with
-    # which contractions begin. Such a word has one form, and each letter one lower case.
-    _plain = staticmethod(re.compile("(?!.*<\\|)[!-&(-~À-ÖØ-öø-ÿ]+").fullmatch)
-    _pieces = staticmethod(re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall)
+    _blank = staticmethod(re.compile(rb"[ \t-\r]").search)
 
     def __init__(self, tokenizer: str):
         import os
@@ -78,59 +142,86 @@ class WordEncoder:
             tokenizer = public_tokenizers.path(tokenizer)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._library = Tokenizer.from_file(tokenizer)
-        self._words: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {}
-        # How the library shows the two bytes of each letter beyond ASCII.
+        self._model = self._library.model
+        # How the library shows each byte of plain words, of which two make a letter beyond ASCII.
         shown = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        self._shown = {code: shown(chr(code))[0][0] for code in range(0xC0, 0x100)}
+        table = {byte: chr(byte) for byte in range(256)}
+        for letter in map(chr, range(0xC0, 0x100)):
+            table.update(zip(letter.encode(), shown(letter)[0][0], strict=True))
+        self._shown = "".join(table.values())
+        self._forget()
         probe = self._PROBE.encode()
         self._by_word = True
         self._by_word = next(self.encode([probe])) == self._whole([probe])[0]
 
+    def _forget(self) -> None:
+        # The ids of the piece with number i are those from _ends[i] up to _ends[i + 1].
+        self._numbers: dict[bytes, int] = {}
+        self._ids, self._ends = array("I"), array("q", [0])
+        self._held = 0
+
     def _whole(self, texts: list[bytes]) -> list[bytes]:
         found = self._library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [_packed(e.ids) for e in found]
-
-    def _part(self, part: str) -> bytes:
-        shown = part if part.isascii() else part.translate(self._shown)
-        own = _packed([t.id for t in self._library.model.tokenize(shown)])
-        if len(part) <= _CACHED_LENGTH:
-            self._parts[part] = own
-        return own
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a plain word."""
-        known = self._parts.get
-        return b"".join([known(part) or self._part(part) for part in self._pieces(word.lower())])
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+
+    def _learn(self, plain: list[bytes], odd: list[bytes]) -> None:
+        """Number pieces of plain words and odd words that have no number yet."""
+        # No piece holds a line end.
+        shown = codecs.charmap_decode(b"\n".join(plain), "strict", self._shown)[0].split("\n") if plain else []
+        tokenize = self._model.tokenize
+        found = [[t.id for t in tokenize(piece)] for piece in shown]
+        if odd:
+            texts = [word.decode() for word in odd]
+            found += [e.ids for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
+        pieces = plain + odd
+        self._numbers.update(zip(pieces, range(len(self._numbers), len(self._numbers) + len(pieces)), strict=True))
+        self._ids.extend(chain.from_iterable(found))
+        self._ends.extend(accumulate(map(len, found), initial=self._ends.pop()))
+        self._held += sum(map(len, pieces)) + _KEPT_EACH * len(pieces)
+
+    def _encode(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of UTF-8 that begins and ends with white space; where its pieces begin, and the ids before each and in all."""
+        if self._held > _KEPT:
+            self._forget()
+        places, odd, text, bounds = _split(raw)
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(text)]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(places), buffers).dictionary_encode()
+        different, which = _values(coded.dictionary), coded.indices.to_numpy()
+        known = list(map(self._numbers.get, different))
+        others = np.zeros(len(different), bool)
+        others[which[odd]] = True
+        new = [i for i, number in enumerate(known) if number is None]
+        self._learn([different[i] for i in new if not others[i]], [different[i] for i in new if others[i]])
+        for i in new:
+            known[i] = self._numbers[different[i]]
+        number = np.array(known, np.int64)[which]
+        ends = np.frombuffer(self._ends, np.int64)
+        begins, lengths = ends[number], ends[number + 1] - ends[number]
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat(begins - before[:-1], lengths) + np.arange(before[-1])
+        return np.frombuffer(self._ids, np.uint32)[at].astype("<u4", copy=False), places, before
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Per text its ids as little-endian uint32."""
         if not self._by_word:
             yield from self._whole(texts)
             return
-        for cache in (self._words, self._parts):
-            if len(cache) > _CACHED:
-                cache.clear()
-        words, known = [text.split() for text in texts], self._words
-        new = list(set().union(*words).difference(known))
-        # No word holds a line end.
-        shown = b"\n".join(new).decode().split("\n") if new else []
-        others = []
-        for word, text in zip(new, shown, strict=True):
-            if self._plain(text):
-                known[word] = self._word(text)
-            else:
-                others.append(word)
-        known.update(zip(others, self._whole(others), strict=True))
-        for own in words:
-            yield b"".join(map(known.__getitem__, own))
-        for word in new:
-            if len(word) > _CACHED_LENGTH:
-                del known[word]
-
-
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+        data = b"\n".join([b"", *texts, b""])
+        # Where the line end after each text stands.
+        stops = np.cumsum([len(t) + 1 for t in texts])
+        begin, last, done = 0, len(data) - 1, 0
+        own: list[np.ndarray] = []
+        while begin < last:
+            end = self._blank(data, min(begin + _PART, last)).start()
+            ids, places, before = self._encode(np.frombuffer(data, np.uint8, end + 1 - begin, begin))
+            stopped = np.searchsorted(stops, end, "right")
+            low = 0
+            for high in before[np.searchsorted(places, stops[done:stopped] - begin)].tolist():
+                own.append(ids[low:high])
+                yield b"".join(own)
+                own, low = [], high
+            own.append(ids[low:])
+            begin, done = end, stopped
 
 
 def levels_of(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -268,8 +359,10 @@ def write_tokens(
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _FILE, strict=True)], schema=_FILE)
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(), dtype=np.int64)
+            cuts = [0, *(np.flatnonzero(np.diff(sizes // _PART)) + 1).tolist(), batch.num_rows]
+            for i, j in zip(cuts, cuts[1:], strict=False):
+                part = batch.slice(i, j - i)
                 texts = [t or b"" for t in part.column(2).cast(pa.binary()).to_pylist()]
                 own = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), encoder.encode(texts), strict=True)
                 for doc_id, key, words in own:

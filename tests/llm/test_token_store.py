@@ -1,5 +1,7 @@
+import itertools
 import random
 import struct
+import sys
 import zlib
 
 import numpy as np
@@ -43,6 +45,50 @@ def test_other_tokenizers_encode_whole_texts():
     assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == other.encode("Two  words", add_special_tokens=False).ids
 
 
+def test_new_words_of_known_pieces_take_no_calls():
+    encoder = token_store.WordEncoder(token_store.TOKENIZER)
+    names = ["".join(p) for p in itertools.product("abé", repeat=3)]
+    words = " ".join(f"{a.title()}7{b}." for a in names for b in names).encode()
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        got = list(encoder.encode([words]))
+    finally:
+        sys.setprofile(None)
+    # 729 different words, but 29 different pieces.
+    assert calls < 400
+    assert got == encoder._whole([words])
+
+
+@pytest.mark.parametrize(("part", "kept"), [(1, 0), (5, 10**9), (64, 3000), (1 << 22, 0)])
+def test_parts_and_forgotten_pieces_change_no_ids(monkeypatch, part, kept):
+    monkeypatch.setattr(token_store, "_PART", part)
+    monkeypatch.setattr(token_store, "_KEPT", kept)
+    encoder = token_store.WordEncoder(token_store.TOKENIZER)
+    draw = random.Random(part)
+    signs = [*"aZéÀßÿ×÷Þ19 \t\n\x0b\x1c\x85\xa0'’<|>.,-_\x7f\x00中"]
+    signs += ["<|endoftext|>", "<|", "'ll", "e\u0301", "\u0301", "</w>", "  "]
+    for _ in range(60):
+        texts = ["".join(draw.choices(signs, k=draw.choice([0, 1, 20, 80]))).encode() for _ in range(draw.choice([1, 2, 9]))]
+        assert list(encoder.encode(texts)) == encoder._whole(texts)
+    assert list(encoder.encode([])) == []
+
+
+def test_rows_are_cut_into_parts_by_their_bytes(spark, documents, library, monkeypatch):
+    monkeypatch.setattr(token_store, "_PART", 16)
+    rows = [(i, t) for i, t in enumerate([None, "", *TEXTS, "a long text of many words " * 9, None, "x", "y"])]
+    got = token_store.read_documents(token_store.write_tokens(documents(*rows))).collect()
+    want = {i: np.array([*ids_of(library, t), 1], "<u4") for i, t in rows}
+    for r in got:
+        assert (r.n_tokens, r.ids_crc32) == (len(want[r.doc_id]), zlib.crc32(want[r.doc_id].tobytes()))
+    assert sorted(r.doc_id for r in got) == sorted(want)
+
+
 @pytest.mark.parametrize("top", [1, 256, 70_000, 2**32])
 def test_any_token_and_any_range(tmp_path, top):
     draw = random.Random(top)
